@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # 32 MB of keys and row numbers may be broadcast; the caller measures them.
 KEY_BYTES_TO_BROADCAST = 32 << 20
-# A row number takes some 24 bytes in a broadcast, so this is about 24 MB.
-LINES_TO_BROADCAST = 1_000_000
+# A row number takes some 24 bytes in a broadcast hash table, so this is about 100 MB.
+LINES_TO_BROADCAST = 4_000_000
+# Spark's bitmaps hold 32,768 numbers in 4 KB, so this is 64 MB of bitmaps.
+SPAN_TO_BROADCAST = (64 << 20) * 8
 
 
 def first_of_each(rows: DataFrame, key: str = "task_id") -> DataFrame:
@@ -43,11 +45,15 @@ def not_stored(
     return first.join(F.broadcast(hits), key, "left_anti")
 
 
-def keep_lines(rows: DataFrame, lines: DataFrame, kept: int, total: int) -> DataFrame:
-    """The rows whose `line` is among `lines`; `kept` of `total` rows are.
+def keep_lines(
+    rows: DataFrame, lines: DataFrame, kept: int, total: int, span: int
+) -> DataFrame:
+    """The rows whose `line` is among `lines`: `kept` of `total` rows, of an input that
+    is `span` lines long.
 
-    The smaller of "kept" and "dropped" is broadcast while it is under a million row
-    numbers. Beyond that the rows are shuffled by `line`, which is unique.
+    The rows stay where they are while the smaller of "kept" and "dropped" fits a
+    broadcast as numbers, or the span fits one as bitmaps. Beyond that they are shuffled
+    once, in runs of 32,768 lines, so that stored files still cover narrow id ranges.
     """
     dropped = total - kept
     if dropped == 0:
@@ -58,4 +64,28 @@ def keep_lines(rows: DataFrame, lines: DataFrame, kept: int, total: int) -> Data
     if dropped <= LINES_TO_BROADCAST:
         unwanted = rows.select("line").join(wanted, "line", "left_anti")
         return rows.join(F.broadcast(unwanted), "line", "left_anti")
-    return rows.join(wanted, "line", "left_semi")
+    bitmaps = line_bitmaps(wanted)
+    if span <= SPAN_TO_BROADCAST:
+        bitmaps = F.broadcast(bitmaps)
+    run = F.bitmap_bucket_number(F.col("line") + 1)
+    position = F.bitmap_bit_position(F.col("line") + 1)
+    return (
+        rows.withColumn("run", run)
+        .join(bitmaps, "run")
+        .where(bit_is_set(F.col("bitmap"), position))
+        .drop("run", "bitmap")
+    )
+
+
+def line_bitmaps(lines: DataFrame) -> DataFrame:
+    """`(run, bitmap)`: the lines as one bit each, per run of 32,768."""
+    number = F.col("line") + 1
+    return lines.groupBy(F.bitmap_bucket_number(number).alias("run")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bitmap")
+    )
+
+
+def bit_is_set(bitmap: Column, position: Column) -> Column:
+    byte = F.substring(bitmap, (position / 8).cast("int") + 1, F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    return F.getbit(value, (position % 8).cast("int")) == 1

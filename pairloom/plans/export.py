@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.operators.shards import ShardMap, shard_map
-from pairloom.schema import EXPORT_FIELDS, LIST_FIELDS, NULLABLE_FIELDS
+from pairloom.schema import EXPORT_FIELDS, LIST_FIELDS, NULLABLE_FIELDS, field_type
 from pairloom.session import engine_settings, work_folder
 from pairloom.sources.folders import (
     delete_file,
@@ -118,7 +118,7 @@ def export_column(name: str) -> Column:
     and a NULL in it fails the export."""
     if name in NULLABLE_FIELDS:
         return F.col(name)
-    empty = F.array().cast("array<string>") if name in LIST_FIELDS else F.lit("")
+    empty = F.array().cast(field_type(name)) if name in LIST_FIELDS else F.lit("")
     no_value = F.raise_error(F.lit(f"NULL in required column {name}"))
     checked = F.when(F.col(name).isNull(), no_value).otherwise(F.col(name))
     return F.coalesce(checked, empty).alias(name)

@@ -165,7 +165,8 @@ def load_lines(
                 inserted[_position(files, ord_)] = n
             if sum(inserted):
                 first_id = store.last_id() + 1
-                kept = keep_lines(good, new, sum(inserted), ok)
+                span = sum(per_file[uri].lines for uri in order if uri in per_file)
+                kept = keep_lines(good, new, sum(inserted), ok, span)
                 store.append(_stored_rows(kept, first_id), first_id, load_id)
 
     return LoadResult(

@@ -1,0 +1,210 @@
+"""Coverage counts, document and file; gap ranking."""
+
+import json
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import workload
+from pairloom.operators import coverage, gaps
+from pairloom.plans.coverage_report import document_text, store_coverage, write_coverage
+from pairloom.plans.load import load_files
+from pairloom.schema import STORE_SCHEMA
+from pairloom.sources.pair_store import PairStore
+from pairloom.taxonomy import TAXONOMY, cell_frame, taxonomy_frame
+from tests.records import record, write_file
+
+
+def frame(spark, rows):
+    schema = "domain string, difficulty string, task_shape string, capability_tags array<string>"
+    return spark.createDataFrame(rows, schema)
+
+
+@pytest.fixture
+def few(spark):
+    return frame(
+        spark,
+        [
+            ("mathematics", "easy", "code", ["reasoning", "reasoning"]),
+            ("mathematics", "hard", "code", ["planning"]),
+            ("open_ended", "hard", "essay", []),
+        ],
+    )
+
+
+def as_dict(df):
+    return {r.key: r.n for r in df.collect()}
+
+
+def test_counts(few):
+    assert coverage.total_count(few).first().n == 3
+    assert as_dict(coverage.axis_counts(few, "domain")) == {"mathematics": 2, "open_ended": 1}
+    assert as_dict(coverage.tag_counts(few)) == {"reasoning": 2, "planning": 1}
+    assert as_dict(coverage.cross_counts(few, "domain", "difficulty")) == {
+        "mathematics:easy": 1,
+        "mathematics:hard": 1,
+        "open_ended:hard": 1,
+    }
+
+
+@pytest.mark.parametrize("name", ["id", "domain; DROP TABLE x", "", "Domain", "capability_tags"])
+def test_only_listed_columns(few, name):
+    for call in (
+        lambda: coverage.axis_counts(few, name),
+        lambda: coverage.cross_counts(few, name, "domain"),
+        lambda: coverage.cross_counts(few, "domain", name),
+    ):
+        with pytest.raises(ValueError, match="invalid column name"):
+            call()
+
+
+def test_document(few):
+    doc = coverage.coverage_document(few).first()
+    assert doc.total_count == 3
+    assert doc.task_shape == {"code": 2, "essay": 1}
+    assert doc.capability == {"planning": 1, "reasoning": 2}
+    assert list(doc.domain_x_difficulty) == [
+        "mathematics:easy",
+        "mathematics:hard",
+        "open_ended:hard",
+    ]
+    assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", doc.generated_at)
+
+
+def test_generated_at_is_utc_in_any_session(spark, few):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        df = coverage.coverage_document(few).select(
+            "generated_at", F.unix_timestamp(F.current_timestamp()).alias("now")
+        )
+        row = df.first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    text = spark.createDataFrame([(row.now,)], "s long").select(
+        F.date_format(F.timestamp_seconds("s"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("t")
+    )
+    assert row.generated_at == text.first().t
+
+
+def test_empty_table(spark):
+    doc = coverage.coverage_document(spark.createDataFrame([], STORE_SCHEMA)).first()
+    assert doc.total_count == 0
+    assert all(doc[name] == {} for name in coverage.MAP_FIELDS)
+
+
+def test_key_collisions(spark):
+    df = frame(spark, [("a:b", "c", "s", [])] * 2 + [("a", "b:c", "s", [])])
+    assert coverage.coverage_document(df).first().domain_x_difficulty == {"a:b:c": 2}
+    rows = coverage.coverage_long(df).where("axis = 'domain_x_difficulty'").collect()
+    assert sorted(r.n for r in rows) == [1, 2]
+
+
+def test_null_tag_lists_count_on_the_other_axes(spark):
+    df = frame(spark, [("a", "b", "c", None)])
+    rows = coverage.coverage_long(df).collect()
+    assert {(r.axis, r.n) for r in rows} == {
+        (axis, 1) for axis in ("total", "domain", "difficulty", "task_shape", "domain_x_difficulty")
+    }
+
+
+def test_one_scan_equals_grouping_sets_and_reads_four_columns(spark, sf_dir, tmp_path):
+    workload.pairs(spark, sf_dir).write.parquet(str(tmp_path / "p"))
+    pairs = spark.read.parquet(str(tmp_path / "p"))
+    long = coverage.coverage_long(pairs)
+    plan = long._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    read = re.search(r"ReadSchema: struct<(.*)>", plan).group(1)
+    assert read == "domain:string,difficulty:string,task_shape:string,capability_tags:array<string>"
+    pairs.createOrReplaceTempView("pairs_view")
+    sets = spark.sql("""
+      SELECT CASE grouping_id(domain, difficulty, task_shape)
+               WHEN 7 THEN 'total' WHEN 3 THEN 'domain' WHEN 5 THEN 'difficulty'
+               WHEN 6 THEN 'task_shape' ELSE 'domain_x_difficulty' END AS axis,
+             concat_ws(':', domain, difficulty, task_shape) AS key, count(*) AS n
+      FROM pairs_view GROUP BY GROUPING SETS
+        ((), (domain), (difficulty), (task_shape), (domain, difficulty))
+      UNION ALL
+      SELECT 'capability', tag, count(*) FROM pairs_view
+        LATERAL VIEW explode(capability_tags) AS tag GROUP BY tag""")
+    assert sorted(map(tuple, long.collect())) == sorted(map(tuple, sets.collect()))
+
+
+def test_coverage_file(spark, tmp_path):
+    store = PairStore(spark, str(tmp_path / "store"))
+    values = [record("a"), record("b", domain="finance", capability_tags=["planning"])]
+    load_files(spark, [write_file(tmp_path / "f.jsonl", values)], store)
+    out = tmp_path / "deep" / "er" / "coverage.json"
+    for _ in range(2):
+        text = write_coverage(spark, store, str(out))
+        assert out.read_text() == text
+    assert list(json.loads(text)) == [
+        "total_count",
+        "domain",
+        "difficulty",
+        "task_shape",
+        "capability",
+        "domain_x_difficulty",
+        "generated_at",
+    ]
+    assert text.startswith(
+        '{\n  "total_count": 2,\n  "domain": {\n    "finance": 1,\n    "mathematics": 1\n  },'
+    )
+
+
+def test_document_of_a_missing_store_and_special_characters(spark, tmp_path):
+    text = document_text(store_coverage(PairStore(spark, str(tmp_path / "none"))))
+    assert text.startswith('{\n  "total_count": 0,\n  "domain": {},')
+    df = frame(spark, [("R&D <é> \u2028", "b", "B", []), ("a", "b", "a", [])])
+    text = document_text(coverage.coverage_document(df))
+    assert '"R\\u0026D \\u003cé\\u003e \\u2028": 1' in text
+    assert list(json.loads(text)["task_shape"]) == ["B", "a"]
+
+
+def test_taxonomy_frame_sizes(spark):
+    assert {k: len(v) for k, v in TAXONOMY.items()} == {
+        "domain": 13,
+        "capability": 8,
+        "difficulty": 3,
+        "task_shape": 6,
+    }
+    rows = taxonomy_frame(spark).collect()
+    assert len(rows) == 30 and all(r.description for r in rows)
+    assert cell_frame(spark, ["domain", "difficulty"]).count() == 39
+    assert cell_frame(spark, list(TAXONOMY)).count() == 1872
+
+
+def test_gaps(few):
+    found = {(r.axis, r.value): r.n for r in gaps.axis_gaps(few).collect()}
+    assert len(found) == 30
+    assert found["domain", "mathematics"] == 2 and found["domain", "finance"] == 0
+    assert found["capability", "reasoning"] == 2
+    assert sum(r.n for r in gaps.cell_gaps(few).collect()) == 2
+    off = {(r.axis, r.value, r.n) for r in gaps.off_taxonomy(few).collect()}
+    assert off == {("domain", "open_ended", 1), ("task_shape", "essay", 1)}
+
+
+def test_next_targets(few):
+    rows = gaps.next_targets(few, 38).collect()
+    assert [r["rank"] for r in rows] == list(range(1, 39))
+    assert tuple(rows[0])[1:] == ("software-engineering", "easy", 0)
+    assert [r.n for r in rows] == [0] * 37 + [1]
+    assert (rows[-1].domain, rows[-1].difficulty) == ("mathematics", "easy")
+    shapes = gaps.next_targets(few, 3, ["task_shape"]).collect()
+    assert [tuple(r) for r in shapes] == [
+        (1, "short-text", 0),
+        (2, "long-text", 0),
+        (3, "structured-data", 0),
+    ]
+    with pytest.raises(ValueError, match="k must be"):
+        gaps.next_targets(few, 0)
+    with pytest.raises(ValueError, match="invalid axis"):
+        gaps.cell_counts(few, ["colour"])
+
+
+def test_capability_cells_count_once_per_tag(few):
+    rows = gaps.cell_counts(few, ["capability", "difficulty"]).collect()
+    assert {(r.capability, r.difficulty, r.n) for r in rows} == {
+        ("reasoning", "easy", 2),
+        ("planning", "hard", 1),
+    }

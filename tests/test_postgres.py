@@ -1,0 +1,68 @@
+"""PostgreSQL options; no server is involved."""
+
+import pytest
+
+from pairloom.schema import EXPORT_FIELDS, STORE_SCHEMA
+from pairloom.sources import postgres
+
+FULL = {
+    "POSTGRES_HOST": "db.example.com",
+    "POSTGRES_PORT": "15432",
+    "POSTGRES_DB": "mydb",
+    "POSTGRES_USER": "admin",
+    "POSTGRES_PASSWORD": "s3 cr'et\\",
+}
+
+
+def test_defaults():
+    options = postgres.connection_options({}, database="pairs", user="me")
+    assert options["url"] == "jdbc:postgresql://localhost:5432/pairs?sslmode=disable"
+    assert (options["user"], options["password"]) == ("me", "")
+
+
+def test_environment_wins():
+    options = postgres.connection_options(FULL, database="pairs", user="me")
+    assert options["url"] == "jdbc:postgresql://db.example.com:15432/mydb?sslmode=disable"
+    assert (options["user"], options["password"]) == ("admin", "s3 cr'et\\")
+
+
+def test_process_environment(monkeypatch):
+    for name, value in FULL.items():
+        monkeypatch.setenv(name, value)
+    assert postgres.connection_options() == postgres.connection_options(FULL)
+
+
+def test_empty_value_counts_as_set():
+    options = postgres.connection_options({**FULL, "POSTGRES_USER": ""}, user="me")
+    assert options["user"] == ""
+
+
+def test_database_and_user_are_needed():
+    with pytest.raises(ValueError, match="POSTGRES_DB"):
+        postgres.connection_options({}, user="me")
+    with pytest.raises(ValueError, match="POSTGRES_USER"):
+        postgres.connection_options({}, database="pairs")
+
+
+def test_parallel_read_by_id():
+    options = postgres.read_options(postgres.connection_options(FULL), "pairs", 1, 900, 8)
+    assert options["partitionColumn"] == "id" and options["numPartitions"] == "8"
+    assert (options["lowerBound"], options["upperBound"]) == ("1", "900")
+    with pytest.raises(ValueError):
+        postgres.read_options({}, "pairs", 1, 900, 0)
+
+
+def test_table_names_are_checked():
+    assert postgres.id_bounds_options({}, "public.pairs")["query"].endswith("public.pairs")
+    for name in ("pairs; drop table x", "a b", "", "a.b.c"):
+        with pytest.raises(ValueError, match="invalid table name"):
+            postgres.id_bounds_options({}, name)
+
+
+def test_column_names_there_and_back(spark):
+    pairs = spark.createDataFrame([], STORE_SCHEMA)
+    table = postgres.to_table(pairs)
+    assert "references_" in table.columns and "references" not in table.columns
+    assert "id" not in table.columns and "created_at" not in table.columns
+    stored = table.selectExpr("1L as id", "*", "current_timestamp() as created_at")
+    assert postgres.from_table(stored).columns == ["id", *EXPORT_FIELDS]
