@@ -7,7 +7,6 @@ between null and absent; `from_json` would turn both into strings or nulls.
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,8 +60,8 @@ def kind_of(doc: Column, path: str) -> Column:
 
 
 def parsed_lines(lines: DataFrame, seal: str) -> DataFrame:
-    """Add `overlong`, `doc` (sealed VARIANT or NULL), `whole`, and two structs with one
-    field per record field: `kind` (its JSON kind) and `rec` (its typed value)."""
+    """Add `overlong`, `doc` (sealed VARIANT or NULL), `rec` (a struct with the typed
+    value of every field) and `shape` (a letter per field, see `field_letter`)."""
     line = F.col("value")
     docs = lines.withColumn(
         "overlong", F.octet_length(line) >= MAX_LINE_BYTES
@@ -75,83 +74,80 @@ def parsed_lines(lines: DataFrame, seal: str) -> DataFrame:
             F.coalesce(sealed_json(line, seal), sealed_json(strip_space(line), seal)),
         ),
     )
-    doc = F.col("doc")
-    kinds = [kind_of(doc, field_path(f)).alias(f) for f in RECORD_FIELDS]
     values = [
-        F.try_variant_get(doc, field_path(f), field_type(f).simpleString()).alias(f)
+        F.try_variant_get("doc", field_path(f), field_type(f).simpleString()).alias(f)
         for f in RECORD_FIELDS
     ]
-    return docs.select(
-        "*",
-        is_whole(doc, seal).alias("whole"),
-        F.struct(*kinds).alias("kind"),
-        F.struct(*values).alias("rec"),
-    )
-
-
-def _kind(name: str) -> Column:
-    return F.col("kind")[name]
+    shape = F.concat(*[field_letter(f, seal) for f in CHECK_ORDER])
+    return docs.withColumn("rec", F.struct(*values)).withColumn("shape", shape)
 
 
-def _value(name: str) -> Column:
-    return F.col("rec")[name]
+# The fields in the order they are checked, and the letters they should have.
+CHECK_ORDER = REQUIRED_TEXT + REQUIRED_LISTS + OPTIONAL_LISTS
+GOOD_SHAPE = "^t{8}l{5}[l-]{2}$"
+BAD_LETTER = "(?<=^.{0,7})[^t]|(?<=^.{8,12})[^l]|(?<=^.{13,14})[^l-]"
 
 
-def _is_text_list(name: str, seal: str) -> Column:
-    # `array_contains` is NULL only when the value is not found and an element is null;
-    # a null between strings does not show in the kind.
-    no_null = F.array_contains(_value(name), F.lit(seal)).isNotNull()
-    return _kind(name).isin(*LIST_OF_STRINGS) & no_null
+def field_letter(name: str, seal: str) -> Column:
+    """`t` for a text, `l` for a list of texts, `-` for absent, `x` for anything else.
 
-
-def _is_object() -> Column:
-    kind = kind_of(F.col("doc"), "$[0]")
-    # A line holding only `null` counts as an object without fields.
-    return kind.startswith("OBJECT<") | (kind == "VOID")
+    One short text for all fields keeps the generated code of the checks small enough for
+    the JVM to compile; a comparison per field and rule does not.
+    """
+    kind = kind_of(F.col("doc"), field_path(name))
+    if name in REQUIRED_TEXT:
+        good, letter = kind == "STRING", "t"
+    else:
+        # `array_contains` is NULL only when the value is not found and an element is
+        # null; a null between strings does not show in the kind.
+        no_null = F.array_contains(F.col("rec")[name], F.lit(seal)).isNotNull()
+        good, letter = kind.isin(*LIST_OF_STRINGS) & no_null, "l"
+    return F.when(kind.isNull(), "-").when(good, letter).otherwise("x")
 
 
 def _holds_nul() -> Column:
     # In valid JSON a NUL can only be written as this escape; the text is searched for
     # the character itself only where the escape occurs.
     escaped = F.contains("value", F.lit("\\u0000"))
-    text = F.concat_ws("", *[_value(f) for f in RECORD_FIELDS])
+    text = F.concat_ws("", *[F.col("rec")[f] for f in RECORD_FIELDS])
     return F.when(escaped, F.contains(text, F.lit("\x00"))).otherwise(False)
 
 
+def _shape_reason() -> Column:
+    names = F.array(*[F.lit(f) for f in CHECK_ORDER])
+    at = F.regexp_instr("shape", F.lit(BAD_LETTER))
+    absent = F.substring(F.col("shape"), at, F.lit(1)) == "-"
+    rule = F.when(absent, "missing:").otherwise("type:")
+    # A line holding only `null` counts as an object without fields; an array, a number
+    # and so on has no fields either but is no object.
+    is_object = kind_of(F.col("doc"), "$[0]").rlike("^(OBJECT<|VOID$)")
+    return F.when(F.col("shape").startswith("-") & ~is_object, "json").otherwise(
+        F.concat(rule, F.element_at(names, at))
+    )
+
+
 def reject_reason(seal: str, taxonomy: Taxonomy = TAXONOMY) -> Column:
     """The first failing check of a parsed line, NULL when there is none.
 
     `json`, then `missing:`/`type:` per field in order, then `enum:`, then `nul`.
     """
-    checks = [(~F.col("whole"), F.lit("json"))]
-    for name in REQUIRED_TEXT + REQUIRED_LISTS:
-        missing = F.lit(f"missing:{name}")
-        if name == REQUIRED_TEXT[0]:
-            missing = F.when(_is_object(), missing).otherwise("json")
-        good = (
-            _kind(name) == "STRING"
-            if name in REQUIRED_TEXT
-            else _is_text_list(name, seal)
-        )
-        checks += [(_kind(name).isNull(), missing), (~good, F.lit(f"type:{name}"))]
-    for name in OPTIONAL_LISTS:
-        bad = _kind(name).isNotNull() & ~_is_text_list(name, seal)
-        checks.append((bad, F.lit(f"type:{name}")))
+    chain = F.when(~is_whole(F.col("doc"), seal), "json").when(
+        ~F.col("shape").rlike(GOOD_SHAPE), _shape_reason()
+    )
     for name in AXIS_COLUMNS:
-        unknown = ~_value(name).isin(*taxonomy[name])
-        checks.append((unknown, F.lit(f"enum:{name}")))
-    tags = F.array(*[F.lit(v) for v in taxonomy[TAG_AXIS]])
-    unknown = F.size(F.array_except(_value(TAG_COLUMN), tags)) > 0
-    checks += [(unknown, F.lit(f"enum:{TAG_COLUMN}")), (_holds_nul(), F.lit("nul"))]
-
-    first, *rest = checks
-    return reduce(lambda chain, c: chain.when(*c), rest, F.when(*first))
+        unknown = ~F.col("rec")[name].isin(*taxonomy[name])
+        chain = chain.when(unknown, f"enum:{name}")
+    known = list(taxonomy[TAG_AXIS])
+    # The lambda also ends a generated stage here: parse and checks in one would be over
+    # the 8,000 bytes of bytecode up to which the JVM compiles a method.
+    unknown = F.exists(F.col("rec")[TAG_COLUMN], lambda tag: ~tag.isin(*known))
+    return chain.when(unknown, f"enum:{TAG_COLUMN}").when(_holds_nul(), "nul")
 
 
 def bad_element(doc: Column, reason: Column, taxonomy: Taxonomy = TAXONOMY) -> Column:
     """Position (from 0) of the list element a `type:` or `enum:` reason is about.
 
-    Meant for rejects only: lambdas take a plan out of whole-stage code generation.
+    Costly, and meant for rejects only.
     """
     known = list(taxonomy[TAG_AXIS])
     tags = F.try_variant_get(doc, field_path(TAG_COLUMN), "array<string>")

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,7 +30,6 @@ class FileLines:
     failed: int
     key_bytes: int
     splits: int
-    modified: datetime
     cut: tuple[int, int] | None
 
 
@@ -39,7 +37,6 @@ def split_table(checked: DataFrame) -> DataFrame:
     """One row per split of a file, with the number of lines before it in the file."""
     ok = F.col("status") == OK
     splits = checked.groupBy("file_path", "block_start").agg(
-        F.min("modified").alias("modified"),
         F.min("mid").alias("first_mid"),
         F.count("*").alias("lines"),
         F.count_if(ok).alias("ok"),
@@ -68,7 +65,6 @@ def lines_per_file(splits: DataFrame) -> dict[str, FileLines]:
         F.sum("failed").alias("failed"),
         F.sum("key_bytes").alias("key_bytes"),
         F.count("*").alias("splits"),
-        F.min("modified").alias("modified"),
         F.min(cut).alias("cut"),
     )
     return {
@@ -78,7 +74,6 @@ def lines_per_file(splits: DataFrame) -> dict[str, FileLines]:
             r.failed,
             r.key_bytes,
             r.splits,
-            r.modified,
             tuple(r.cut) if r.cut else None,
         )
         for r in rows.collect()
@@ -126,5 +121,5 @@ def number_lines(
             " or (block_start = cut_block and mid < cut_at)"
         )
     return numbered.drop(
-        "base", "cut_block", "cut_at", "first_mid", "lines_before", "modified", "block_start", "mid"
+        "base", "cut_block", "cut_at", "first_mid", "lines_before", "block_start", "mid"
     )

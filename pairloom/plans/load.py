@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,7 +126,7 @@ def load_lines(
 ) -> LoadResult:
     """Load scanned lines of `files`; `lines` is read exactly once.
 
-    Without `files`, as in a stream, the files count in the order they were written.
+    Without `files`, as in a stream, the files count in the order of their names.
 
     The checked lines are written once to the work folder. Every later step reads the
     few columns it needs from there, so the text is parsed once, the line positions
@@ -143,8 +144,7 @@ def load_lines(
         splits = written(split_table(checked), f"{work}/splits")
         per_file = lines_per_file(splits)
         if files is None:
-            by_age = sorted(per_file, key=lambda path: (per_file[path].modified, path))
-            files = [InputFile(path, path) for path in by_age]
+            files = [InputFile(path, path) for path in sorted(per_file, key=unquote)]
         order = [f.uri for f in files if f.uri is not None]
         numbered = number_lines(spark, checked, splits, order, per_file)
         good = numbered.where(F.col("status") == OK)

@@ -15,7 +15,6 @@ class Entry:
     path: str
     name: str
     is_file: bool
-    modified_ms: int
 
 
 class WriterBusy(RuntimeError):
@@ -57,9 +56,7 @@ def rename_file(spark: SparkSession, source: str, target: str) -> None:
 
 def _entry(status) -> Entry:
     path = status.getPath()
-    return Entry(
-        path.toString(), path.getName(), status.isFile(), status.getModificationTime()
-    )
+    return Entry(path.toString(), path.getName(), status.isFile())
 
 
 def entry_of(spark: SparkSession, path: str) -> Entry | None:

@@ -42,7 +42,6 @@ def line_columns() -> list:
     return [
         F.col("value"),
         F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_modification_time").alias("modified"),
         F.col("_metadata.file_block_start").alias("block_start"),
     ]
 
@@ -57,14 +56,14 @@ def number_in_task(lines: DataFrame) -> DataFrame:
 
 
 def scan_lines(spark: SparkSession, files: Iterable[InputFile]) -> DataFrame:
-    """All lines of the files: `(value, file_path, modified, block_start, mid)`.
+    """All lines of the files: `(value, file_path, block_start, mid)`.
 
     Lines end at `\\n` only; Spark's default would also break at a lone `\\r`. A file
     given twice is read once, see `operators.numbering`.
     """
     unique = {f.uri: f.path for f in files if f.uri is not None}
     if not unique:
-        empty = "value string, file_path string, modified timestamp, block_start long, mid long"
+        empty = "value string, file_path string, block_start long, mid long"
         return spark.createDataFrame([], empty)
     text = spark.read.option("lineSep", "\n").text(
         [literal_path(p) for p in unique.values()]

@@ -39,7 +39,8 @@ def start_load_stream(
 
     With `processing_time` (`"1 hour"`) the query keeps running instead. The store is the
     state: a record delivered again is skipped however old it is, and nothing grows in
-    the stream. Each micro-batch is one load named after the checkpoint and the batch
+    the stream. Spark takes files by age; those of one micro-batch are read in the order
+    of their names. Each micro-batch is one load named after the checkpoint and the batch
     number, so a batch replayed after a crash is not stored twice. Spark allows one
     running query per checkpoint.
     """

@@ -420,7 +420,9 @@ def _reload_skips(spark, sf_dir):
 @query("stream_load_rows", LOADED_SQL)
 def _stream_load_rows(spark, sf_dir):
     store, checkpoint = _new_store(spark), workload.scratch_folder(spark, "checkpoint")
-    load_stream(spark, _mixed_input(spark, sf_dir), store, checkpoint)
+    # All files in one micro-batch, so that "first wins" goes by their names.
+    folder = _mixed_input(spark, sf_dir)
+    load_stream(spark, folder, store, checkpoint, max_files_per_trigger=None)
     return _flat(store.read(), RECORD_FIELDS)
 
 
