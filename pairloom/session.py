@@ -48,8 +48,9 @@ def work_folder(spark: SparkSession, beside: str) -> Iterator[str]:
     It lies in the cluster's shared `spark.checkpoint.dir`; where that is unset, next to
     the data being written, which every executor reaches as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"{beside}/_work"
-    folder = f"{root}/pairloom-{uuid.uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    prefix = f"{shared}/pairloom" if shared else f"{beside}/_work"
+    folder = f"{prefix}-{uuid.uuid4().hex}"
     try:
         yield folder
     finally:
