@@ -542,7 +542,9 @@ VIOLATIONS_SQL = ", ".join(
 )
 def _conform_violations(spark, sf_dir):
     configure(spark)
-    return conform.strict_violations(workload.mixed_lines(spark, sf_dir))
+    lines = workload.mixed_lines(spark, sf_dir)
+    stored = written(lines, workload.scratch_folder(spark, "mixed"))
+    return conform.strict_violations(stored)
 
 
 @query(
