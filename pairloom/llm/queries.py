@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import url_reputation
+from pairloom.llm import cuckoo_dedup, url_reputation
 from pairloom.llm.common import table
 
 URL_RULES = (
@@ -27,8 +27,20 @@ def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge_urls(table(spark, sf_dir, "pages"), outcomes, URL_RULES)
 
 
+def op10_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the document of equal text that stays."""
+    return cuckoo_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_reputation": op2_url_reputation,
+    "op10_cuckoo_dedup": op10_cuckoo_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_cuckoo_dedup": """
+        SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+               doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
+    """,
+}
