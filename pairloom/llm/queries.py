@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import cuckoo_dedup, url_reputation
-from pairloom.llm.common import table
+from pairloom.llm import cuckoo_dedup, url_reputation, warc_archive
+from pairloom.llm.common import Scratch, table
 
 URL_RULES = (
     ("com/en/", "block"),
@@ -27,6 +27,19 @@ def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge_urls(table(spark, sf_dir, "pages"), outcomes, URL_RULES)
 
 
+def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived, and what the archive says of it."""
+    archive = Scratch(spark, "archive").path("warc")
+    warc_archive.write_archive(table(spark, sf_dir, "pages"), archive)
+    return warc_archive.resolved_records(spark, archive).select(
+        F.col("id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "refers_to",
+    )
+
+
 def op10_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the document of equal text that stays."""
     return cuckoo_dedup.exact_dedup(table(spark, sf_dir, "documents"))
@@ -34,10 +47,20 @@ def op10_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_reputation": op2_url_reputation,
+    "op4_warc_archive": op4_warc_archive,
     "op10_cuckoo_dedup": op10_cuckoo_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op4_warc_archive": """
+        SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest,
+               CASE WHEN strlen(html) >= 100 AND page_id > first_id
+                    THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN strlen(html) >= 100 AND page_id > first_id
+                    THEN first_id END AS refers_to
+        FROM (SELECT page_id, html, min(page_id) OVER (PARTITION BY html) AS first_id
+              FROM (SELECT page_id, coalesce(html, '') AS html FROM pages))
+    """,
     "op10_cuckoo_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
