@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import cuckoo_dedup, url_reputation, warc_archive
+from pairloom.llm import cuckoo_dedup, simhash_anchors, url_reputation, warc_archive
 from pairloom.llm.common import Scratch, table
 
 URL_RULES = (
@@ -40,6 +40,11 @@ def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint and near-duplicate class."""
+    return simhash_anchors.simhash_classes(table(spark, sf_dir, "documents"))
+
+
 def op10_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the document of equal text that stays."""
     return cuckoo_dedup.exact_dedup(table(spark, sf_dir, "documents"))
@@ -48,6 +53,7 @@ def op10_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_reputation": op2_url_reputation,
     "op4_warc_archive": op4_warc_archive,
+    "op7_simhash_anchors": op7_simhash_anchors,
     "op10_cuckoo_dedup": op10_cuckoo_dedup,
 }
 
