@@ -7,7 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import cuckoo_dedup, simhash_anchors, url_reputation, warc_archive
+from pairloom.llm import (
+    cuckoo_dedup,
+    quality_pu,
+    simhash_anchors,
+    url_reputation,
+    warc_archive,
+)
 from pairloom.llm.common import Scratch, table
 
 URL_RULES = (
@@ -18,6 +24,8 @@ URL_RULES = (
     ("org/es/", "block"),
 )
 
+QUALITY_THRESHOLD = 0.3
+
 
 def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL; the quality label with the page's id is the page's outcome."""
@@ -40,6 +48,24 @@ def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def trained_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality_pu.Model | None:
+    """A model that has seen neither the labels nor the texts of the held-out fifth."""
+    known = ~quality_pu.held_out(F.col("doc_id"))
+    trusted = table(spark, sf_dir, "labels").filter(known & (F.col("quality") == 1))
+    return quality_pu.learn(docs.filter(known), trusted.select(F.col("doc_id").alias("id")))
+
+
+def op6_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its quality score."""
+    docs = table(spark, sf_dir, "documents")
+    return quality_pu.score(docs, trained_quality(spark, docs, sf_dir)).select(
+        "doc_id",
+        quality_pu.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op7_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and near-duplicate class."""
     return simhash_anchors.simhash_classes(table(spark, sf_dir, "documents"))
@@ -53,6 +79,7 @@ def op10_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_reputation": op2_url_reputation,
     "op4_warc_archive": op4_warc_archive,
+    "op6_quality_pu": op6_quality_pu,
     "op7_simhash_anchors": op7_simhash_anchors,
     "op10_cuckoo_dedup": op10_cuckoo_dedup,
 }
