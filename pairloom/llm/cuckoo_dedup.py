@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm.common import Scratch, lookup
@@ -33,6 +33,14 @@ KICKS = 200
 STATE = "shard int, digest binary, n long, keep long, stale boolean, slots binary"
 
 
+NO_ID = -(1 << 63)
+"""Stands for "no id" inside a shard, where null would turn whole numbers into floats."""
+
+
+def _largest(id_col: str) -> Column:
+    return F.coalesce(F.max(id_col), F.lit(NO_ID))
+
+
 class CuckooFilter:
     """Approximate set of digests with deletion; `insert` is False when it overflows."""
 
@@ -104,7 +112,7 @@ class Shard:
         else:
             self.filter = CuckooFilter(len(slots) // (2 * SLOTS), slots)
 
-    def apply(self, digest: bytes, n: int, keep: int | None) -> None:
+    def apply(self, digest: bytes, n: int, keep: int) -> None:
         # The filter is asked first; only a hit looks at the content.
         live = self.content.get(digest) if digest in self.filter else None
         if n > 0 and live is None:
@@ -113,20 +121,19 @@ class Shard:
                 self.filter = filled(2 * (self.filter.mask + 1), self.content)
         elif n > 0:
             live[0] += n
-            if keep is not None and (live[1] is None or keep > live[1]):
-                live[1] = keep
+            live[1] = max(live[1], keep)
         elif live is not None:
             live[0] += n
             if live[0] <= 0:
                 del self.content[digest]
                 self.filter.remove(digest)
-            elif keep is not None and keep == live[1]:
+            elif keep == live[1]:
                 live[2] = True
 
     def rows(self) -> Iterator[tuple]:
         for digest, (n, keep, stale) in self.content.items():
             yield digest, n, keep, stale, None
-        yield None, 0, None, False, self.filter.slots.tobytes()
+        yield None, 0, NO_ID, False, self.filter.slots.tobytes()
 
 
 def _apply_to_shard(first_buckets: int):
@@ -135,17 +142,10 @@ def _apply_to_shard(first_buckets: int):
     columns = ["digest", "n", "keep", "stale", "slots"]
 
     def apply(key, state: pd.DataFrame, arrivals: pd.DataFrame) -> pd.DataFrame:
-        def whole(values):
-            return [None if pd.isna(v) else int(v) for v in values]
-
-        shard = Shard(
-            list(zip(state.digest, whole(state.n), whole(state.keep), state.stale, state.slots)),
-            first_buckets,
-        )
-        for digest, n, keep in zip(arrivals.digest, arrivals.n, whole(arrivals.keep)):
-            shard.apply(digest, int(n), keep)
+        shard = Shard(list(state[columns].itertuples(index=False, name=None)), first_buckets)
+        for digest, n, keep in zip(arrivals.digest, arrivals.n, arrivals.keep):
+            shard.apply(digest, int(n), int(keep))
         out = pd.DataFrame(list(shard.rows()), columns=columns)
-        out["keep"] = out["keep"].astype("Int64")
         out.insert(0, "shard", key[0])
         return out
 
@@ -182,7 +182,7 @@ class CuckooIndex:
     def _apply(self, keyed: DataFrame, sign: int) -> DataFrame:
         arrivals = (
             keyed.groupBy("digest", (F.spark_partition_id() % ARRIVALS).alias("part"))
-            .agg((F.count(F.lit(1)) * sign).alias("n"), F.max("id").alias("keep"))
+            .agg((F.count(F.lit(1)) * sign).alias("n"), _largest("id").alias("keep"))
             .withColumn("shard", F.pmod(F.hash("digest"), F.lit(self.shards)))
             .select("shard", "digest", "n", "keep")
         )
@@ -211,7 +211,7 @@ class CuckooIndex:
         again = (
             self.members.join(state.filter("stale").select("digest"), "digest", "left_semi")
             .groupBy("digest")
-            .agg(F.max("id").alias("next"))
+            .agg(_largest("id").alias("next"))
         )
         fresh = state.join(again, "digest", "left").select(
             "shard",
@@ -225,7 +225,8 @@ class CuckooIndex:
 
     def classes(self) -> DataFrame:
         """`(digest, n, keep)` of every live digest."""
-        return self.state.filter("digest is not null").select("digest", "n", "keep")
+        keep = F.when(F.col("keep") != NO_ID, F.col("keep"))
+        return self.state.filter("digest is not null").select("digest", "n", keep.alias("keep"))
 
 
 def exact_dedup(

@@ -173,10 +173,15 @@ def learn(
     """Fit on `docs` and on `positives(id)`, ids of trusted positives; None without any."""
     kinds = _class_table()
 
-    def features(parts: Iterator) -> Iterator:
-        for part in parts:
-            rows = [_features_of(kinds, t).astype("<f4").tobytes() for t in part["text"]]
-            yield part[["id", "positive", "unlabelled"]].assign(features=rows)
+    def features(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = [_features_of(kinds, t.as_py()).astype("<f4").tobytes() for t in batch.column("text")]
+            names = ["id", "positive", "unlabelled"]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in names), pa.array(rows, pa.binary())], [*names, "features"]
+            )
 
     ids = docs.select(F.col(id_col).cast("long").alias("id")).filter("id is not null")
     trusted = positives.select(F.col("id").cast("long")).distinct()
@@ -193,7 +198,7 @@ def learn(
         docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
         .join(F.broadcast(chosen), "id")  # at most max_positives + max_unlabelled ids
         .na.fill(False, ["positive", "unlabelled"])
-        .mapInPandas(features, "id long, positive boolean, unlabelled boolean, features binary")
+        .mapInArrow(features, "id long, positive boolean, unlabelled boolean, features binary")
         .dropDuplicates(["id"])
         .toPandas()
         .sort_values("id")
@@ -207,23 +212,29 @@ def learn(
     return fit(matrix[rows["positive"]], matrix[rows["unlabelled"]])
 
 
+def _scores(model: Model | None, kinds: np.ndarray, texts) -> np.ndarray:
+    rows = [_features_of(kinds, t) for t in texts]
+    if model is None or not rows:
+        return np.full(len(rows), 0.5)
+    return model.scores(np.stack(rows))
+
+
 def score(
     docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """`(doc_id, score)` for every row."""
     kinds = _class_table()
 
-    def scored(parts: Iterator) -> Iterator:
-        for part in parts:
-            if model is None:
-                yield part[["id"]].assign(score=0.5)
-                continue
-            rows = np.stack([_features_of(kinds, t) for t in part["text"]])
-            yield part[["id"]].assign(score=model.scores(rows))
+    def scored(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            found = _scores(model, kinds, [t.as_py() for t in batch.column("text")])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found)], ["id", "score"])
 
     return (
         docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-        .mapInPandas(scored, "id long, score double")
+        .mapInArrow(scored, "id long, score double")
         .withColumnRenamed("id", id_col)
     )
 
@@ -232,15 +243,11 @@ def with_score(docs: DataFrame, model: Model | None, text_col: str = "text") ->
     """All columns of `docs` and `_score`, in one pass; for use as a filter."""
     kinds = _class_table()
 
-    def scored(texts: Iterator) -> Iterator:
+    def scored(parts: Iterator) -> Iterator:
         import pandas as pd
 
-        for part in texts:
-            if model is None:
-                yield pd.Series(0.5, index=part.index)
-            else:
-                rows = [_features_of(kinds, t) for t in part]
-                yield pd.Series(model.scores(np.stack(rows)) if rows else [], dtype=float)
+        for texts in parts:
+            yield pd.Series(_scores(model, kinds, texts))
 
     udf = F.pandas_udf(scored, "double", F.PandasUDFType.SCALAR_ITER)
     return docs.withColumn("_score", udf(text_col))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm import (
+    best_fit_packing,
     cuckoo_dedup,
     quality_pu,
     simhash_anchors,
@@ -48,6 +49,24 @@ def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def packed(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    pieces = best_fit_packing.token_pieces(
+        docs,
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+    scratch = Scratch(spark, "packing")
+    return best_fit_packing.pack(pieces, scratch).withColumnRenamed("id", "doc_id")
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their places in sequences of 2048 tokens."""
+    return packed(spark, table(spark, sf_dir, "documents"))
+
+
 def trained_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality_pu.Model | None:
     """A model that has seen neither the labels nor the texts of the held-out fifth."""
     known = ~quality_pu.held_out(F.col("doc_id"))
@@ -79,6 +98,7 @@ def op10_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_reputation": op2_url_reputation,
     "op4_warc_archive": op4_warc_archive,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_pu": op6_quality_pu,
     "op7_simhash_anchors": op7_simhash_anchors,
     "op10_cuckoo_dedup": op10_cuckoo_dedup,

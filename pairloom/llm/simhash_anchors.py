@@ -42,7 +42,7 @@ WORDS_AT_ONCE = 1 << 16
 
 def _fingerprints(shingle: int):
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
     import xxhash
 
     def words_of(data: bytes) -> Iterator[list[bytes]]:
@@ -69,10 +69,12 @@ def _fingerprints(shingle: int):
             return digest(b" ".join(carried), SEED)
         return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
 
-    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def batches(parts: Iterator) -> Iterator:
         for part in parts:
-            prints = np.array([one(t) for t in part["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"id": part["id"], "print": prints.view(np.int64)})
+            prints = np.array([one(t.as_py()) for t in part.column("text")], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id"), pa.array(prints.view(np.int64))], ["id", "print"]
+            )
 
     return batches
 
@@ -83,7 +85,7 @@ def fingerprints(
     """`(id, print)`: the 64-bit SimHash of all shingles of each whole text, as a long."""
     return docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")
-    ).mapInPandas(_fingerprints(shingle), "id long, print long")
+    ).mapInArrow(_fingerprints(shingle), "id long, print long")
 
 
 def _syndrome(word: Column) -> Column:
