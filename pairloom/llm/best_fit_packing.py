@@ -289,7 +289,7 @@ def pack(
     capacity: int = 2048,
     groups: int = 32,
     small_shares: tuple[float, ...] = SMALL_SHARES,
-    bucket_rows: int = 50_000,
+    bucket_rows: int = 10_000,
 ) -> DataFrame:
     """`pieces` with `(sequence_id, offset)`, by the plan of the fewest sequences."""
     pieces = scratch.write(pieces, "pieces")

@@ -71,5 +71,9 @@ def lookup(left: DataFrame, right: DataFrame, key: str, weight: str) -> DataFram
     total = right.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
     is_hot = F.col(weight) * HOT_SHARE > F.lit(total)
     hot, cold = right.filter(is_hot), right.filter(~is_hot)
+    if hot.isEmpty():
+        return left.join(right, key)
+    if cold.isEmpty():
+        return left.join(F.broadcast(hot), key)
     spread = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
     return left.join(F.broadcast(hot), key).unionByName(spread)

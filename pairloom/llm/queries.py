@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pairloom.llm import (
     best_fit_packing,
     cuckoo_dedup,
+    mixing,
     quality_pu,
     simhash_anchors,
     url_reputation,
@@ -26,6 +27,12 @@ URL_RULES = (
 )
 
 QUALITY_THRESHOLD = 0.3
+MIX = mixing.Mix(mixing.Target("repetition", 2.0))
+
+
+def op1_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every draw of a mix that repeats no source more than twice and drops no document."""
+    return mixing.draws(table(spark, sf_dir, "documents"), MIX)
 
 
 def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +103,7 @@ def op10_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_temperature_mixing": op1_temperature_mixing,
     "op2_url_reputation": op2_url_reputation,
     "op4_warc_archive": op4_warc_archive,
     "op5_best_fit_packing": op5_best_fit_packing,
@@ -105,6 +113,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    # Within a limit r and with every document drawn, the exponent has a closed form:
+    # (largest share / smallest share) ** (1 - exponent) = r.
+    "op1_temperature_mixing": """
+        WITH d AS (
+            SELECT doc_id, coalesce('=' || source, '') AS source_key,
+                   greatest(1, ceil(coalesce(strlen(text), 0) / 4))::BIGINT AS tokens
+            FROM documents
+        ), s AS (
+            SELECT source_key, sum(tokens)::BIGINT AS t FROM d GROUP BY 1
+        ), a AS (
+            SELECT CASE WHEN max(t) > min(t)
+                   THEN greatest(0, 1 - ln(2) / ln(max(t) / min(t))) ELSE 0 END AS alpha FROM s
+        ), w AS (
+            SELECT source_key, t, pow(t, alpha) / sum(pow(t, alpha)) OVER () AS weight FROM s, a
+        ), q AS (
+            SELECT source_key, t, weight * max(t / weight) OVER () AS quota,
+                   greatest(1, ceil(t / 20000))::BIGINT AS blocks FROM w
+        ), r AS (
+            SELECT d.*, t, quota,
+                   ('0x' || substr(md5(doc_id || '/1'), 1, 15))::BIGINT % blocks AS block
+            FROM d JOIN q USING (source_key)
+        ), b AS (
+            SELECT source_key, block, t, quota, sum(tokens)::BIGINT AS block_tokens
+            FROM r GROUP BY ALL
+        ), p AS (
+            SELECT *, unnest(generate_series(0, greatest(ceil(quota / t)::INT - 1, 0))) AS pass
+            FROM b
+        ), o AS (
+            SELECT *, ('0x' || substr(md5(concat_ws('/', source_key, pass, block, 1)), 1, 15))
+                   ::BIGINT AS ord FROM p
+        ), g AS (
+            SELECT *, pass * t + coalesce(sum(block_tokens) OVER (
+                PARTITION BY source_key, pass ORDER BY ord, block
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM o
+        )
+        SELECT doc_id, source_key, pass::INT AS pass, block, tokens,
+               floor(start / g.quota * 1000000 + 0.5)::BIGINT AS position
+        FROM g JOIN r USING (source_key, block) WHERE start + block_tokens / 2 <= g.quota
+    """,
     "op4_warc_archive": """
         SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest,
                CASE WHEN strlen(html) >= 100 AND page_id > first_id
