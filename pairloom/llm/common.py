@@ -16,6 +16,9 @@ HOT_SHARE = 1000
 """A key is hot once it has more than one in HOT_SHARE of all rows, so there are fewer
 than HOT_SHARE hot keys whatever the size of the data."""
 
+IDS_TO_BROADCAST = 500_000
+"""Whole numbers: about 16 MB as a hash table."""
+
 
 class Scratch:
     """Tables of one operator call, in the shared folder the cluster names in
@@ -77,3 +80,15 @@ def lookup(left: DataFrame, right: DataFrame, key: str, weight: str) -> DataFram
         return left.join(F.broadcast(hot), key)
     spread = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
     return left.join(F.broadcast(hot), key).unionByName(spread)
+
+
+def without_ids(rows: DataFrame, dropped: DataFrame, id_col: str) -> DataFrame:
+    """`rows` whose id is not in `dropped(id)`, one row per id.
+
+    Up to IDS_TO_BROADCAST ids, counted, are broadcast, so that wide rows stay where they
+    are; more are joined by a shuffle. Rows without an id stay.
+    """
+    dropped = dropped.select(F.col("id").alias(id_col))
+    if dropped.count() <= IDS_TO_BROADCAST:
+        dropped = F.broadcast(dropped)
+    return rows.join(dropped, id_col, "left_anti").select(*rows.columns)

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import Scratch, lookup
+from pairloom.llm.common import Scratch, lookup, without_ids
 
 ARRIVALS = 32
 SLOTS = 4
@@ -248,3 +248,26 @@ def exact_dedup(
         F.col("id").eqNullSafe(F.col("keep")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`docs` with one row of each text, that with the largest id.
+
+    Where ids are null or repeated they do not name the rows, and rows that stay are told
+    apart by their text's digest.
+    """
+    scratch = Scratch(docs.sparkSession, "copies")
+    rows = scratch.write(exact_dedup(docs, id_col, text_col), "rows")
+    n_rows, n_ids = rows.agg(F.count(F.lit(1)), F.count_distinct(id_col)).first()
+    if n_rows == n_ids:
+        return without_ids(docs, rows.filter("not kept").select(F.col(id_col).alias("id")), id_col)
+    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+    stays = rows.filter("kept").select(
+        F.col(id_col).alias("__id"), F.col("text_sha256").alias("__digest")
+    )
+    hashed = docs.withColumn("__digest", digest)
+    same = hashed["__digest"] == stays["__digest"]
+    same &= hashed[id_col].eqNullSafe(stays["__id"])
+    return (
+        hashed.join(stays, same, "left_semi").dropDuplicates(["__digest"]).select(*docs.columns)
+    )

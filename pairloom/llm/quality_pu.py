@@ -29,6 +29,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -239,15 +240,15 @@ def score(
     )
 
 
-def with_score(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """All columns of `docs` and `_score`, in one pass; for use as a filter."""
+def without_rejected(
+    docs: DataFrame, model: Model | None, threshold: float, text_col: str = "text"
+) -> DataFrame:
+    """The rows of `docs` with a score of at least `threshold`, in one pass."""
     kinds = _class_table()
 
-    def scored(parts: Iterator) -> Iterator:
-        import pandas as pd
-
+    @F.pandas_udf("double")
+    def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in parts:
             yield pd.Series(_scores(model, kinds, texts))
 
-    udf = F.pandas_udf(scored, "double", F.PandasUDFType.SCALAR_ITER)
-    return docs.withColumn("_score", udf(text_col))
+    return docs.filter(scored(text_col) >= threshold)

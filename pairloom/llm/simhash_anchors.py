@@ -31,7 +31,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import Scratch, lookup
+from pairloom.llm.common import Scratch, lookup, without_ids
 from pairloom.llm.components import connected_components
 
 SEED = 42
@@ -237,3 +237,20 @@ def simhash_classes(
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def without_near_copies(
+    docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """`docs` with one document of each class, that with the smallest id.
+
+    Rows that share an id stay if it is the smallest of any of their classes. Rows without
+    an id stay.
+    """
+    scratch = Scratch(docs.sparkSession, "near")
+    classes = simhash_classes(docs, shingle, id_col=id_col, text_col=text_col)
+    stays = F.max(F.col(id_col) == F.col("component_id"))
+    dropped = (
+        classes.groupBy(F.col(id_col).alias("id")).agg(stays.alias("stays")).filter("not stays")
+    )
+    return without_ids(docs, scratch.write(dropped.select("id"), "dropped"), id_col)
