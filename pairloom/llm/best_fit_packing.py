@@ -32,7 +32,6 @@ import re
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -55,10 +54,8 @@ class Encoder:
     """Token ids of a byte-level BPE; the faster library where both must agree."""
 
     def __init__(self, json_path: str, ranks_path: str | None, pattern: str | None) -> None:
-        from tokenizers import Tokenizer
-
-        self.exact = Tokenizer.from_file(json_path)
-        self.fast = None
+        self.json_path = json_path
+        self.exact = self.fast = None
         if ranks_path:
             import base64
 
@@ -74,13 +71,14 @@ class Encoder:
     def ids(self, text: str) -> np.ndarray:
         if self.fast and SPECIAL not in text and COMMON_TEXT.fullmatch(text):
             return self.fast.encode_to_numpy(text, disallowed_special=())
-        return np.array(self.exact.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        return self.exact_ids(text)
 
+    def exact_ids(self, text: str) -> np.ndarray:
+        if self.exact is None:
+            from tokenizers import Tokenizer
 
-@lru_cache(maxsize=4)
-def encoder(json_path: str, ranks_path: str | None, pattern: str | None) -> Encoder:
-    """One for each Python worker."""
-    return Encoder(json_path, ranks_path, pattern)
+            self.exact = Tokenizer.from_file(self.json_path)
+        return np.array(self.exact.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
 
 def token_pieces(
@@ -101,7 +99,7 @@ def token_pieces(
     def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        tokens = encoder(json_path, ranks_path, pattern)
+        tokens = Encoder(json_path, ranks_path, pattern)
         for batch in batches:
             rows = []
             for at, text in enumerate(batch.column("text")):

@@ -12,6 +12,7 @@ from pairloom.llm import (
     cuckoo_dedup,
     mixing,
     quality_pu,
+    repeated_units,
     simhash_anchors,
     url_reputation,
     warc_archive,
@@ -43,6 +44,11 @@ def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge_urls(table(spark, sf_dir, "pages"), outcomes, URL_RULES)
 
 
+def op3_repeated_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every unit of a document that repeats an earlier one, in runs of 30 words or more."""
+    return repeated_units.repeated_units(table(spark, sf_dir, "documents"))
+
+
 def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page archived, and what the archive says of it."""
     archive = Scratch(spark, "archive").path("warc")
@@ -105,6 +111,7 @@ def op10_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_temperature_mixing": op1_temperature_mixing,
     "op2_url_reputation": op2_url_reputation,
+    "op3_repeated_units": op3_repeated_units,
     "op4_warc_archive": op4_warc_archive,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_pu": op6_quality_pu,
