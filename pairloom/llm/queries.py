@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pairloom.llm import (
     best_fit_packing,
     cuckoo_dedup,
+    fuzzy_lines,
     mixing,
     quality_pu,
     repeated_units,
@@ -103,6 +104,11 @@ def op7_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_anchors.simhash_classes(table(spark, sf_dir, "documents"))
 
 
+def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line that goes, with the occurrence of its group that stays."""
+    return fuzzy_lines.fuzzy_line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the document of equal text that stays."""
     return cuckoo_dedup.exact_dedup(table(spark, sf_dir, "documents"))
@@ -116,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_pu": op6_quality_pu,
     "op7_simhash_anchors": op7_simhash_anchors,
+    "op8_fuzzy_lines": op8_fuzzy_lines,
     "op10_cuckoo_dedup": op10_cuckoo_dedup,
 }
 

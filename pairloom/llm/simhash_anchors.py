@@ -130,7 +130,7 @@ def _six_bytes(print_: Column) -> Column:
     return F.array(*keys)
 
 
-def _compare():
+def _compare(most_different: int):
     import numpy as np
     import pandas as pd
 
@@ -149,7 +149,7 @@ def _compare():
         step = 1
         while len(here):
             here = here[keys[here] == keys[here + step]]
-            near = np.bitwise_count(prints[here] ^ prints[here + step]) <= MOST_DIFFERENT
+            near = np.bitwise_count(prints[here] ^ prints[here + step]) <= most_different
             a = here[near]
             a = a[parent[a] != parent[a + step]]
             for i, j in zip(a.tolist(), (a + step).tolist()):
@@ -184,11 +184,13 @@ def _compare():
     return batches
 
 
-def _links_of(keyed: DataFrame) -> DataFrame:
+def links_within_keys(keyed: DataFrame, most_different: int = MOST_DIFFERENT) -> DataFrame:
+    """`(u, v)`: links that connect the prints of each key that differ in so few bits;
+    `keyed` is `(key, print)`."""
     return (
         keyed.repartition("key")
         .sortWithinPartitions("key")
-        .mapInPandas(_compare(), "u long, v long")
+        .mapInPandas(_compare(most_different), "u long, v long")
     )
 
 
@@ -201,10 +203,10 @@ def near_links(prints: DataFrame, scratch: Scratch, most_per_anchor: int = 4096)
         "crowded",
     )
     if crowded.isEmpty():
-        return _links_of(keyed)
+        return links_within_keys(keyed)
     dense = keyed.join(crowded, "key", "left_semi").select("print").distinct()
     by_bytes = dense.select(F.explode(_six_bytes(F.col("print"))).alias("key"), "print")
-    return _links_of(keyed.join(crowded, "key", "left_anti")).unionByName(_links_of(by_bytes))
+    return links_within_keys(keyed.join(crowded, "key", "left_anti")).unionByName(links_within_keys(by_bytes))
 
 
 def simhash_classes(
