@@ -12,6 +12,7 @@ from pairloom.llm import (
     cuckoo_dedup,
     fuzzy_lines,
     mixing,
+    nn_descent,
     quality_pu,
     repeated_units,
     simhash_anchors,
@@ -109,6 +110,11 @@ def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_lines.fuzzy_line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its number of links and its component."""
+    return nn_descent.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the document of equal text that stays."""
     return cuckoo_dedup.exact_dedup(table(spark, sf_dir, "documents"))
@@ -123,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_pu": op6_quality_pu,
     "op7_simhash_anchors": op7_simhash_anchors,
     "op8_fuzzy_lines": op8_fuzzy_lines,
+    "op9_nn_descent": op9_nn_descent,
     "op10_cuckoo_dedup": op10_cuckoo_dedup,
 }
 
