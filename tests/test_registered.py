@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__
+import registered
 from tests.oracle import connect, duck_rows, duck_types, spark_rows, spark_types
 
-QUERIES = __spark_entry__.queries()
-ORACLES = __spark_entry__.oracle_sql()
+QUERIES = registered.QUERIES
+ORACLES = registered.ORACLES
 
 
 @pytest.fixture(scope="module")
