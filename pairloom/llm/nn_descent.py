@@ -118,7 +118,7 @@ def _windows(width: str, window: int, best: int):
     def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tail = None
         for part in parts:
-            rows = part if tail is None else pd.concat([tail, part])
+            rows = part if tail is None else pd.concat([tail, part], ignore_index=True)
             for _, same in rows.groupby(["order", "label", "size"], sort=False):
                 yield from linked(same)
             tail = rows.tail(window)
@@ -153,12 +153,13 @@ def _local_joins(width: str, best: int):
     def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None  # rows of the last centre may go on in the next batch
         for part in parts:
-            rows = part if held is None else pd.concat([held, part])
+            rows = part if held is None else pd.concat([held, part], ignore_index=True)
             if len(rows):
                 going_on = rows["centre"] == rows["centre"].iloc[-1]
                 held = rows[going_on]
                 # Lengths differ between labels only; a centre's rows have one.
-                for _, same in rows[~going_on].groupby(rows["vector"].str.len()):
+                whole = rows[~going_on]
+                for _, same in whole.groupby(whole["vector"].str.len()):
                     yield offers(same)
         if held is not None:
             yield offers(held)
