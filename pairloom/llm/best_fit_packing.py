@@ -37,7 +37,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import Scratch
+from pairloom.llm.common import Scratch, text_batches
 
 PIECES = "id long, piece int, start long, length long, ids_crc32 long"
 
@@ -113,6 +113,7 @@ def token_pieces(
             arrays += [pa.array(c, pa.int32() if i == 0 else pa.int64()) for i, c in enumerate(columns)]
             yield pa.RecordBatch.from_arrays(arrays, ["id", "piece", "start", "length", "ids_crc32"])
 
+    text_batches(docs.sparkSession)
     return docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")
     ).mapInArrow(cut, PIECES)

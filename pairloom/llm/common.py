@@ -19,6 +19,19 @@ than HOT_SHARE hot keys whatever the size of the data."""
 IDS_TO_BROADCAST = 500_000
 """Whole numbers: about 16 MB as a hash table."""
 
+TEXT_ROWS = 1000
+"""Rows of whole documents that go to a Python worker at once."""
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Bound what a worker and its executor hold of texts, for the session's later jobs.
+
+    Spark's default of 10,000 rows is meant for narrow rows. A lower setting is kept.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= TEXT_ROWS:
+        spark.conf.set(key, TEXT_ROWS)
+
 
 class Scratch:
     """Tables of one operator call, in the shared folder the cluster names in

@@ -106,8 +106,9 @@ def exponent(sources: DataFrame, target: Target, budget: float | None) -> float:
 
 def weighted(sources: DataFrame, alpha: float, target: Target, budget: float | None) -> DataFrame:
     """`sources` with `quota`, the tokens to draw from each."""
-    sums = sources.agg(F.sum("tokens").alias("t"), F.sum(F.pow("tokens", F.lit(alpha))).alias("z"))
-    total, z = sums.first()
+    total, z = sources.agg(F.sum("tokens"), F.sum(F.pow("tokens", F.lit(alpha)))).first()
+    if total is None:
+        return sources.withColumns({"weight": F.lit(0.0), "quota": F.lit(0.0)})
     weight = F.pow("tokens", F.lit(alpha)) / F.lit(z)
     if budget is None:
         budget = sources.agg(F.max(F.col("tokens") / weight)).first()[0]

@@ -33,6 +33,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.llm.common import Scratch, text_batches, without_ids
+
 CLASSES = (
     b"abcdefghijklmnopqrstuvwxyz",
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ",
@@ -142,7 +144,7 @@ def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
 
 
 def fit(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 400, l2: float = 1e-4) -> Model:
-    """Fit on feature rows; `unlabelled` holds positives as well."""
+    """Fit on feature rows in random order; `unlabelled` holds positives as well."""
     mean, scale = unlabelled.mean(axis=0), unlabelled.std(axis=0) + 1e-3
     p = np.hstack([(positive - mean) / scale, np.ones((len(positive), 1))])
     u = np.hstack([(unlabelled - mean) / scale, np.ones((len(unlabelled), 1))])
@@ -173,6 +175,7 @@ def learn(
 ) -> Model | None:
     """Fit on `docs` and on `positives(id)`, ids of trusted positives; None without any."""
     kinds = _class_table()
+    text_batches(docs.sparkSession)
 
     def features(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -225,6 +228,7 @@ def score(
 ) -> DataFrame:
     """`(doc_id, score)` for every row."""
     kinds = _class_table()
+    text_batches(docs.sparkSession)
 
     def scored(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -241,14 +245,26 @@ def score(
 
 
 def without_rejected(
-    docs: DataFrame, model: Model | None, threshold: float, text_col: str = "text"
+    docs: DataFrame,
+    model: Model | None,
+    threshold: float,
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
-    """The rows of `docs` with a score of at least `threshold`, in one pass."""
+    """The rows of `docs` with a score of at least `threshold`.
+
+    Only ids and texts go to Python. Rows that share an id go only if all of them are
+    rejected. Rows without an id, which no list of ids can name, are judged one by one.
+    """
     kinds = _class_table()
 
-    @F.pandas_udf("double")
-    def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in parts:
-            yield pd.Series(_scores(model, kinds, texts))
+    @F.pandas_udf("boolean")
+    def passes(texts: pd.Series) -> pd.Series:
+        return pd.Series(_scores(model, kinds, texts) >= threshold)
 
-    return docs.filter(scored(text_col) >= threshold)
+    named, unnamed = docs.filter(F.col(id_col).isNotNull()), docs.filter(F.col(id_col).isNull())
+    scores = score(named, model, id_col, text_col).groupBy(F.col(id_col).alias("id"))
+    rejected = scores.agg(F.max("score").alias("best")).filter(F.col("best") < threshold)
+    scratch = Scratch(docs.sparkSession, "rejected")
+    stays = without_ids(named, scratch.write(rejected.select("id"), "ids"), id_col)
+    return stays.unionByName(unnamed.filter(passes(text_col)))

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import Scratch, lookup
+from pairloom.llm.common import Scratch, lookup, text_batches
 
 UNITS = ("line", "paragraph", "sentence")
 NO_ID = (1 << 63) - 1
@@ -100,6 +100,7 @@ def repeated_units(
     if unit not in UNITS:
         raise ValueError(f"unit is one of {UNITS}")
     scratch = Scratch(docs.sparkSession, "units")
+    text_batches(docs.sparkSession)
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
         F.col(text_col).alias("text"),
@@ -148,6 +149,7 @@ def without_units(
     """
     import xxhash
 
+    text_batches(docs.sparkSession)
     spans_ = "array<struct<start:long,end:long>>"
 
     @F.pandas_udf("long")
