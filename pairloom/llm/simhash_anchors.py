@@ -31,13 +31,14 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import Scratch, lookup, without_ids
+from pairloom.llm.common import Scratch, lookup, text_batches, without_ids
 from pairloom.llm.components import connected_components
 
 SEED = 42
 LOW_BITS = 31
 MOST_DIFFERENT = 2
 WORDS_AT_ONCE = 1 << 16
+ROWS_AT_ONCE = 1 << 17
 
 
 def _fingerprints(shingle: int):
@@ -83,6 +84,7 @@ def fingerprints(
     docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """`(id, print)`: the 64-bit SimHash of all shingles of each whole text, as a long."""
+    text_batches(docs.sparkSession)
     return docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")
     ).mapInArrow(_fingerprints(shingle), "id long, print long")
@@ -132,11 +134,12 @@ def _six_bytes(print_: Column) -> Column:
 
 def _compare(most_different: int):
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
 
     def forest(keys, prints):
         """Links within each run of equal keys, without those that close a ring."""
         parent = np.arange(len(keys))
+        bits = prints.view(np.uint64)  # of signed numbers, the bits of the amount are counted
         found: list[tuple[int, int]] = []
 
         def root(i: int) -> int:
@@ -149,7 +152,7 @@ def _compare(most_different: int):
         step = 1
         while len(here):
             here = here[keys[here] == keys[here + step]]
-            near = np.bitwise_count(prints[here] ^ prints[here + step]) <= most_different
+            near = np.bitwise_count(bits[here] ^ bits[here + step]) <= most_different
             a = here[near]
             a = a[parent[a] != parent[a + step]]
             for i, j in zip(a.tolist(), (a + step).tolist()):
@@ -162,24 +165,25 @@ def _compare(most_different: int):
             step += 1
             here = here[here + step < len(keys)]
         at = np.array(found, dtype=np.int64).reshape(-1, 2)
-        return pd.DataFrame({"u": prints[at[:, 0]], "v": prints[at[:, 1]]}).astype("int64")
+        return pa.RecordBatch.from_arrays(
+            [pa.array(prints[at[:, 0]]), pa.array(prints[at[:, 1]])], ["u", "v"]
+        )
 
-    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []  # rows of the last key so far
+    def batches(parts: Iterator) -> Iterator:
+        keys, prints, rows, enough = [], [], 0, ROWS_AT_ONCE
         for part in parts:
-            if not len(part):
-                continue
-            keys = part["key"].to_numpy()
-            cut = int(np.searchsorted(keys, keys[-1]))
-            if cut == 0 and held and held[0]["key"].iloc[0] == keys[-1]:
-                held.append(part)
+            keys.append(part.column("key").to_numpy())
+            prints.append(part.column("print").to_numpy())
+            rows += part.num_rows
+            if rows < enough:
                 continue
-            whole = pd.concat([*held, part.iloc[:cut]]) if held else part.iloc[:cut]
-            held = [part.iloc[cut:]]
-            yield forest(whole["key"].to_numpy(), whole["print"].to_numpy())
-        if held:
-            whole = pd.concat(held)
-            yield forest(whole["key"].to_numpy(), whole["print"].to_numpy())
+            key, print_ = np.concatenate(keys), np.concatenate(prints)
+            cut = int(np.searchsorted(key, key[-1]))  # the last key may go on
+            yield forest(key[:cut], print_[:cut])
+            keys, prints, rows = [key[cut:]], [print_[cut:]], len(key) - cut
+            enough = max(ROWS_AT_ONCE, 2 * rows)
+        if rows:
+            yield forest(np.concatenate(keys), np.concatenate(prints))
 
     return batches
 
@@ -190,7 +194,7 @@ def links_within_keys(keyed: DataFrame, most_different: int = MOST_DIFFERENT) ->
     return (
         keyed.repartition("key")
         .sortWithinPartitions("key")
-        .mapInPandas(_compare(most_different), "u long, v long")
+        .mapInArrow(_compare(most_different), "u long, v long")
     )
 
 
