@@ -1,0 +1,92 @@
+import math
+
+import numpy as np
+import pytest
+
+from pairloom.llm import nn_descent
+from tests.llm.helpers import components, rows_of
+
+SCHEMA = "vec_id long, embedding array<float>, label int, node string"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(*r, "clash") for r in rows], SCHEMA).repartition(3)
+
+
+def brute_force(rows, threshold=0.98):
+    units = []
+    for _, v, label in rows:
+        good = label is not None and v and all(x is not None and math.isfinite(x) for x in v)
+        v = np.array(v, dtype="f4").astype(float) if good else None
+        units.append(v / np.linalg.norm(v) if good and v.any() else None)
+
+    def linked(i, j):
+        a, b = units[i], units[j]
+        if a is None or b is None or rows[i][2] != rows[j][2] or len(a) != len(b):
+            return False
+        return a @ b >= threshold
+
+    n = len(rows)
+    degree = [sum(linked(min(i, j), max(i, j)) for j in range(n) if j != i) for i in range(n)]
+    return degree, components(n, linked)
+
+
+def crowd(seed, n=120, dim=16):
+    random = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        if i % 3 and rows:
+            base = np.array(rows[random.integers(len(rows))][1])
+            v = base + random.normal(size=dim) * 0.03 * np.linalg.norm(base)
+        else:
+            v = random.normal(size=dim)
+        rows.append((i, [float(np.float32(x)) for x in v], int(random.integers(2))))
+    rows += [(n + k, rows[0][1], rows[0][2]) for k in range(5)]
+    rows += [(2 * n + k, [2 * x for x in rows[1][1]], rows[1][2]) for k in range(3)]
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_equals_brute_force(spark, monkeypatch, seed):
+    monkeypatch.setattr(nn_descent, "TILE", 7)
+    rows = crowd(seed)
+    degree, roots = brute_force(rows)
+    found = rows_of(nn_descent.near_vectors(table(spark, rows)), "vec_id", "n_links", "component_id", "kept")
+    wanted = sorted((r[0], d, rows[c][0], r[0] == rows[c][0]) for r, d, c in zip(rows, degree, roots))
+    assert found == wanted
+    assert max(degree) > 5
+
+
+def test_saturated_lists_lose_no_link(spark):
+    random = np.random.default_rng(3)
+    centre = random.normal(size=16)
+    rows = [(i, (centre + random.normal(size=16) * 0.02).tolist(), 1) for i in range(90)]
+    degree, _ = brute_force(rows)
+    settings = nn_descent.Settings(neighbours=4, most_neighbours=6)
+    found = rows_of(nn_descent.near_vectors(table(spark, rows), settings), "vec_id", "n_links", "component_id")
+    assert min(degree) > 6
+    assert found == [(i, d, 0) for i, d in enumerate(degree)]
+
+
+def test_awkward_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (3, [1.0, 0.0], 2),
+        (4, [1.0, 0.0], None), (5, None, 1), (6, [0.0, 0.0], 1), (7, [1.0, None], 1),
+        (8, [nan, 1.0], 1), (9, [inf, 1.0], 1), (10, [], 1), (11, [1.0, 0.0, 0.0], 1),
+        (12, [2.0, 0.001], 1), (None, [1.0, 0.0], 1), (None, None, None), (14, [-1.0, 0.0], 1),
+    ]
+    found = rows_of(nn_descent.near_vectors(table(spark, rows)), "vec_id", "n_links", "component_id", "kept")
+    alone = [(i, 0, i, True) for i in (3, 4, 5, 6, 7, 8, 9, 10, 11, 14)]
+    wanted = [(1, 4, 1, True), (2, 4, 1, False), (2, 4, 1, False), (12, 4, 1, False), *alone]
+    assert found == [*sorted(wanted), (None, 0, None, True), (None, 4, 1, False)]
+    assert nn_descent.near_vectors(table(spark, rows).limit(0)).count() == 0
+
+
+def test_recall_on_the_test_tables(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    rows = [(r.vec_id, list(r.embedding), r.label) for r in vectors.collect()]
+    degree, _ = brute_force(rows)
+    found = {r.vec_id: r.n_links for r in nn_descent.near_vectors(vectors).collect()}
+    assert sum(found.values()) >= 0.9 * sum(degree)
+    assert all(found[r[0]] <= d for r, d in zip(rows, degree))

@@ -1,0 +1,105 @@
+import random
+
+import pytest
+
+from pairloom.llm import repeated_units as units
+from tests.llm.helpers import awkward, documents, rows_of
+
+
+def words(pick, n):
+    return " ".join("".join(pick.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+
+
+def passage(pick, sentences=6):
+    return " ".join(words(pick, 10).capitalize() + "." for _ in range(sentences))
+
+
+@pytest.mark.parametrize("unit", units.UNITS)
+def test_spans_cover_the_text_in_order(unit):
+    text = "One two three. Four five six seven eight nine ten eleven! x\n\nNext? line\n \nend"
+    found = list(units.spans(text, unit, 3))
+    assert "".join(text[a:b] for a, b in found) == text
+    assert list(units.spans("", unit, 3)) == [(0, 0)]
+
+
+def test_passages_are_found_as_lines_and_inside_lines(spark):
+    pick = random.Random(1)
+    shared = passage(pick)
+    own = [passage(pick) for _ in range(8)]
+    docs = documents(
+        spark,
+        [
+            (1, f"{own[0]}\n{shared}\n{own[1]}", "s"),
+            (2, f"{own[2]}\n{shared.upper()}\n{own[3]}", "s"),
+            (3, f"{own[4]} {shared} {own[5]}", "s"),
+            (4, f"{own[6]}\n{own[7]}", "s"),
+        ],
+    )
+    removed = units.repeated_units(docs)
+    assert {r.doc_id for r in removed.collect()} == {2, 3}
+    assert {r.keep_id for r in removed.collect()} == {1}
+    cleaned = {r.doc_id: r for r in units.without_units(docs, removed).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert cleaned[2].text == f"{own[2]}\n{own[3]}"
+    assert cleaned[3].text.split() == f"{own[4]} {own[5]}".split()
+    assert cleaned[1].text == texts[1] and cleaned[4].text == texts[4]
+    for i, row in cleaned.items():
+        assert "".join(texts[i][s.start : s.end] for s in row.kept_spans) == row.text
+
+
+def test_only_lines_miss_a_passage_inside_a_line(spark):
+    pick = random.Random(2)
+    shared = passage(pick)
+    docs = documents(spark, [(1, shared, "s"), (2, "x " + shared + " y", "s")])
+    assert units.repeated_units(docs, unit="line").count() == 0
+    assert units.repeated_units(docs, unit="paragraph").count() == 0
+    assert units.repeated_units(docs, unit="sentence").count() > 0
+
+
+def test_short_phrases_stay(spark):
+    pick = random.Random(3)
+    footer = "All rights reserved to the authors of this page."
+    docs = documents(spark, [(i, passage(pick) + "\n" + footer, "s") for i in range(20)])
+    assert units.repeated_units(docs).count() == 0
+    assert units.repeated_units(docs, min_run_words=1).count() == 19
+
+
+def test_digests_equal_brute_force(spark):
+    pick = random.Random(4)
+    pool = [words(pick, 9) for _ in range(12)]
+    rows = [(i, "\n".join(pick.choice(pool) for _ in range(6)), "s") for i in range(25)]
+    found = rows_of(
+        units.repeated_units(documents(spark, rows), "line", min_run_words=1),
+        "doc_id", "unit", "keep_id", "occurrences",
+    )
+    first, count = {}, {}
+    for i, text, _ in rows:
+        for k, line in enumerate(text.split("\n")):
+            first.setdefault(line, (i, k))
+            count[line] = count.get(line, 0) + 1
+    wanted = [
+        (i, k, first[line][0], count[line])
+        for i, text, _ in rows
+        for k, line in enumerate(text.split("\n"))
+        if first[line] != (i, k)
+    ]
+    assert found == sorted(wanted)
+
+
+def test_awkward_documents(spark):
+    docs = awkward(spark)
+    removed = units.repeated_units(docs, min_run_words=1)
+    found = set(rows_of(removed, "doc_id", "keep_id"))
+    assert found == {(4, 1), (6, 6), (2**60 + 1, 2**60)}
+    cleaned = units.without_units(docs, removed)
+    assert cleaned.columns == [*docs.columns, "kept_spans"]
+    texts = rows_of(cleaned, "doc_id", "text")
+    assert (None, None) in texts and (3, None) in texts and (2, "") in texts
+    assert texts.count((4, "")) == 2
+    assert units.repeated_units(docs.limit(0)).count() == 0
+    assert units.without_units(docs.limit(0), removed).count() == 0
+
+
+def test_unknown_unit(spark):
+    with pytest.raises(ValueError):
+        units.repeated_units(awkward(spark), unit="chapter")
