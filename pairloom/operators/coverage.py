@@ -67,11 +67,10 @@ def _pair_key(a: str, b: str) -> Column:
 def coverage_long(df: DataFrame) -> DataFrame:
     """All counts as `(axis, key, n)`, from one scan of four columns.
 
-    Rows are first counted per distinct combination of the four columns. That aggregate
-    runs map-side and leaves a few thousand rows per task however large the table is, so
-    the expansion into axes works on those instead of on every row.
+    Every row is expanded into its axis values first, and these are counted map-side in
+    the only aggregate. That leaves about as many rows per task as there are values,
+    whatever the order and repetition of the tags in a list.
     """
-    combined = df.groupBy(*AXIS_COLUMNS, TAG_COLUMN).agg(F.count("*").alias("n"))
     entries = [_entry(axis, F.col(axis)) for axis in AXIS_COLUMNS] + [
         _entry("total", F.lit("")),
         _entry(CROSS_NAME, F.col(CROSS_AXES[0]), F.col(CROSS_AXES[1])),
@@ -80,10 +79,8 @@ def coverage_long(df: DataFrame) -> DataFrame:
     tags = F.transform(
         F.coalesce(TAG_COLUMN, no_tags), lambda tag: _entry(TAG_AXIS, tag)
     )
-    exploded = combined.select(
-        F.explode(F.concat(F.array(*entries), tags)).alias("e"), "n"
-    )
-    counted = exploded.groupBy("e.axis", "e.a", "e.b").agg(F.sum("n").alias("n"))
+    exploded = df.select(F.explode(F.concat(F.array(*entries), tags)).alias("e"))
+    counted = exploded.groupBy("e.axis", "e.a", "e.b").agg(F.count("*").alias("n"))
     key = F.when(F.col("axis") == CROSS_NAME, _pair_key("a", "b")).otherwise(F.col("a"))
     return counted.select("axis", key.alias("key"), "n")
 
@@ -96,14 +93,16 @@ def _entry(axis: str, a: Column, b: Column | None = None) -> Column:
 def coverage_document(df: DataFrame) -> DataFrame:
     """One row: `total_count`, five maps from value to count, `generated_at`.
 
-    An empty table gives a total of 0 and empty maps. Map entries are in key order. Two
+    An empty table gives a total of 0 and empty maps. Map entries are in key order. NULL
+    cannot be a key of a map: such values are in the total only. Two
     value pairs that read the same as `a:b` cannot both be in the map; the larger count
     is kept (`coverage_long` keeps both).
     """
     counts = coverage_long(df).groupBy("axis", "key").agg(F.max("n").alias("n"))
 
     def axis_map(axis: str) -> Column:
-        entry = F.when(F.col("axis") == axis, F.struct("key", "n"))
+        wanted = (F.col("axis") == axis) & F.col("key").isNotNull()
+        entry = F.when(wanted, F.struct("key", "n"))
         entries = F.array_sort(F.collect_list(entry))
         return F.map_from_entries(entries).alias(axis)
 

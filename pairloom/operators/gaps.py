@@ -31,17 +31,16 @@ def axis_gaps(df: DataFrame, taxonomy: Taxonomy = TAXONOMY) -> DataFrame:
     )
 
 
-def cell_counts(df: DataFrame, axes: Sequence[str] = CROSS_AXES) -> DataFrame:
+def cell_counts(
+    df: DataFrame, axes: Sequence[str] = CROSS_AXES, taxonomy: Taxonomy = TAXONOMY
+) -> DataFrame:
     """`(<axes>, n)`: pairs per combination; a pair counts once per capability tag where
     `capability` is one of the axes."""
     for axis in axes:
-        if axis not in TAXONOMY:
-            raise ValueError(f"invalid axis: {axis!r} (allowed: {', '.join(TAXONOMY)})")
-    columns = [TAG_COLUMN if axis == TAG_AXIS else axis for axis in axes]
-    combined = df.groupBy(*columns).agg(F.count("*").alias("n"))
-    if TAG_AXIS in axes:
-        combined = combined.withColumn(TAG_AXIS, F.explode(TAG_COLUMN))
-    return combined.groupBy(*axes).agg(F.sum("n").alias("n"))
+        if axis not in taxonomy:
+            raise ValueError(f"invalid axis: {axis!r} (allowed: {', '.join(taxonomy)})")
+    values = [F.explode(TAG_COLUMN).alias(axis) if axis == TAG_AXIS else axis for axis in axes]
+    return df.select(*values).groupBy(*axes).agg(F.count("*").alias("n"))
 
 
 def cell_gaps(
@@ -49,7 +48,7 @@ def cell_gaps(
 ) -> DataFrame:
     """`(<axes>, ord_<axes>, n)` for every combination of taxonomy values."""
     cells = cell_frame(df.sparkSession, axes, taxonomy)
-    return _zero_filled(cells, cell_counts(df, axes), list(axes))
+    return _zero_filled(cells, cell_counts(df, axes, taxonomy), list(axes))
 
 
 def _zero_filled(cells: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:

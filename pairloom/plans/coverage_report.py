@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pairloom.operators.coverage import MAP_FIELDS, coverage_document
 from pairloom.schema import STORE_SCHEMA
 from pairloom.sources.folders import make_folder, write_text
-from pairloom.sources.pair_store import PairStore
+from pairloom.sources.pair_store import PairStore, table_exists
 
 # Fixed value: where the report goes when no path is given.
 DEFAULT_OUTPUT = "/workspace/output/coverage.json"
@@ -22,6 +22,13 @@ def store_coverage(store: PairStore) -> DataFrame:
     return coverage_document(store.spark.createDataFrame([], STORE_SCHEMA))
 
 
+def table_coverage(spark: SparkSession, name: str) -> DataFrame:
+    """The coverage document of a catalog table of pairs; an empty one without the table."""
+    if table_exists(spark, name):
+        return coverage_document(spark.table(name))
+    return coverage_document(spark.createDataFrame([], STORE_SCHEMA))
+
+
 def document_text(document: DataFrame) -> str:
     """The one-row document as JSON: two-space indent, keys of the maps in byte order."""
     row = document.first()

@@ -20,12 +20,19 @@ from pairloom.operators.new_keys import (
 from pairloom.operators.numbering import lines_per_file, number_lines, split_table
 from pairloom.schema import RECORD_FIELDS
 from pairloom.session import engine_settings, work_folder, written
-from pairloom.sources.folders import path_exists, single_writer
+from pairloom.sources.folders import (
+    MARKER,
+    WITH_MARKER,
+    check_marked,
+    modified_at,
+    path_exists,
+    single_writer,
+)
 from pairloom.sources.jsonl import InputFile, find_files, scan_lines
 from pairloom.sources.pair_store import PairStore
 from pairloom.taxonomy import TAXONOMY, Taxonomy
 
-LOADED, MISSING, CUT = "loaded", "missing", "error"
+LOADED, MISSING, CUT, FOLDER = "loaded", "missing", "error", "folder"
 REJECT_SCHEMA = (
     "file_path string, line_no long, stage string, reason string, element int, value string"
 )
@@ -33,8 +40,9 @@ REJECT_SCHEMA = (
 
 @dataclass(frozen=True)
 class FileReport:
-    """`status` is `loaded`, `missing`, or `error` for a file with an over-long line:
-    the lines before it count here but not in the totals of the load."""
+    """`status` is `loaded`, `missing`, `folder` for a folder inside a folder, which is not
+    read, or `error` for a file with an over-long line: the lines before it count here but
+    not in the totals of the load."""
 
     path: str
     status: str
@@ -89,6 +97,7 @@ def load_files(
     load_id: str | None = None,
     taxonomy: Taxonomy = TAXONOMY,
     raise_on_failed: bool = False,
+    owner: str | None = None,
 ) -> LoadResult:
     """Load JSON Lines files, in order, into the store.
 
@@ -100,8 +109,10 @@ def load_files(
         raise ValueError("at least one JSONL file path is required")
     load_id = load_id or uuid.uuid4().hex
     store.create()
-    files = find_files(spark, paths)
-    result = load_lines(spark, scan_lines(spark, files), files, store, load_id, taxonomy)
+    with work_folder(spark, store.path) as staging:
+        files = find_files(spark, paths, staging)
+        lines = scan_lines(spark, files)
+        result = load_lines(spark, lines, files, store, load_id, taxonomy, owner)
     if raise_on_failed and result.failed:
         raise RecordsFailed(result)
     return result
@@ -110,7 +121,7 @@ def load_files(
 def rejected_records(spark: SparkSession, store: PairStore, load_id: str) -> DataFrame:
     """The refused records of a load: file, line number, stage, reason, element, text."""
     path = store.rejects_path(load_id)
-    if not path_exists(spark, path):
+    if not path_exists(spark, f"{path}/{MARKER}"):
         return spark.createDataFrame([], REJECT_SCHEMA)
     return spark.read.schema(REJECT_SCHEMA).parquet(path)
 
@@ -126,7 +137,7 @@ def load_lines(
 ) -> LoadResult:
     """Load scanned lines of `files`; `lines` is read exactly once.
 
-    Without `files`, as in a stream, the files count in the order of their names.
+    Without `files`, as in a stream, the files count by their age and then by name.
 
     The checked lines are written once to the work folder. Every later step reads the
     few columns it needs from there, so the text is parsed once, the line positions
@@ -144,7 +155,8 @@ def load_lines(
         splits = written(split_table(checked), f"{work}/splits")
         per_file = lines_per_file(splits)
         if files is None:
-            files = [InputFile(path, path) for path in sorted(per_file, key=unquote)]
+            age = lambda uri: (modified_at(spark, uri), unquote(uri))
+            files = [InputFile(path, path) for path in sorted(per_file, key=age)]
         order = [f.uri for f in files if f.uri is not None]
         numbered = number_lines(spark, checked, splits, order, per_file)
         good = numbered.where(F.col("status") == OK)
@@ -161,8 +173,10 @@ def load_lines(
                 per_file[uri].key_bytes for uri in order if uri in per_file
             )
             new = written(_new_lines(good, store, key_bytes), f"{work}/new")
+            # `file_ord` counts the existing files only.
+            position = [i for i, f in enumerate(files) if f.uri is not None]
             for ord_, n in new.groupBy("file_ord").count().collect():
-                inserted[_position(files, ord_)] = n
+                inserted[position[ord_]] = n
             if sum(inserted):
                 first_id = store.last_id() + 1
                 span = sum(per_file[uri].lines for uri in order if uri in per_file)
@@ -178,11 +192,6 @@ def load_lines(
     )
 
 
-def _position(files: Sequence[InputFile], file_ord: int) -> int:
-    """`file_ord` counts the existing files only."""
-    return [i for i, f in enumerate(files) if f.uri is not None][file_ord]
-
-
 def _counts(numbered, files, per_file, recount) -> list[tuple[int, int]]:
     """`(ok, failed)` per file."""
     if recount:
@@ -220,12 +229,13 @@ def _write_rejects(numbered: DataFrame, path: str, taxonomy: Taxonomy) -> None:
     )
     reject_details(rejects, taxonomy).select(
         "file_path", "line_no", "stage", "reason", "element", "value"
-    ).write.mode("overwrite").option("compression", "zstd").parquet(path)
+    ).write.mode("overwrite").option("compression", "zstd").options(**WITH_MARKER).parquet(path)
+    check_marked(numbered.sparkSession, path)
 
 
 def _report(file: InputFile, per_file, ok: int, failed: int, new: int) -> FileReport:
     if file.uri is None:
-        return FileReport(file.path, MISSING)
+        return FileReport(file.path, FOLDER if file.is_folder else MISSING)
     seen = per_file.get(file.uri)
     status = CUT if seen is not None and seen.cut else LOADED
     return FileReport(file.path, status, new, ok - new, failed)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import time
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -70,11 +72,48 @@ def list_folder(spark: SparkSession, path: str) -> list[Entry]:
     return sorted((_entry(s) for s in fs.listStatus(p)), key=lambda e: e.name)
 
 
+def changes_in(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """`(path, modified, size)` of the files in a folder, by time and then by name."""
+    fs, p = _open(spark, path)
+    found = [
+        (s.getPath().toString(), s.getModificationTime(), s.getLen())
+        for s in fs.listStatus(p)
+        if s.isFile()
+    ]
+    return sorted(found, key=lambda f: (f[1], f[0]))
+
+
+def modified_at(spark: SparkSession, uri: str) -> int:
+    """Modification time of a file named as `_metadata.file_path` shows it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getFileStatus(path).getModificationTime()
+
+
+def copy_file(spark: SparkSession, source: str, target: str) -> None:
+    fs, p = _open(spark, source)
+    to_fs, to = _open(spark, target)
+    util = spark._jvm.org.apache.hadoop.fs.FileUtil
+    if not util.copy(fs, p, to_fs, to, False, spark._jsc.hadoopConfiguration()):
+        raise OSError(f"cannot copy {source} to {target}")
+
+
 def glob(spark: SparkSession, pattern: str) -> list[Entry]:
     fs, p = _open(spark, pattern)
     return sorted((_entry(s) for s in fs.globStatus(p) or []), key=lambda e: e.path)
 
 
+MARKER = "_SUCCESS"
+WITH_MARKER = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"}
+"""Write options that put the marker there whatever the cluster's default is."""
+
+
+def check_marked(spark: SparkSession, path: str) -> None:
+    """Fail unless a write to `path` has ended with its marker."""
+    if not path_exists(spark, f"{path}/{MARKER}"):
+        raise OSError(f"{path} was written without {MARKER}; it does not count as committed")
+
+
 def scan_uri(spark: SparkSession, path: str) -> str:
     """The path as `_metadata.file_path` shows it: qualified and percent-encoded."""
     fs, p = _open(spark, path)
@@ -107,26 +146,37 @@ def write_text(
         stream.close()
 
 
+WRITER_GONE_AFTER = 3600
+"""Seconds after which a stream's own left-over marker is taken for that of a dead run."""
+
+
 @contextmanager
 def single_writer(spark: SparkSession, folder: str, owner: str) -> Iterator[None]:
     """Hold `folder` for one writer; a second one fails at once.
 
-    The marker is created with "fail if it exists". The same owner may take its own
-    marker again, so a restarted stream is not locked out by its crashed self; any other
-    left-over marker is named in the error and has to be deleted by hand.
+    The marker is created with "fail if it exists" and holds the owner and a token of the
+    Spark application. A stream that was restarted takes its own marker again if it was
+    left by another application more than `WRITER_GONE_AFTER` seconds ago; any other
+    left-over marker is named in the error and has to be deleted by hand. Only one's own
+    marker is deleted at the end.
     """
     marker = f"{folder}/_writer"
+    mine = f"{owner} [{spark.sparkContext.applicationId} {uuid.uuid4().hex}]"
     try:
-        write_text(spark, marker, owner, overwrite=False)
+        write_text(spark, marker, mine, overwrite=False)
     except Exception as error:
         if not path_exists(spark, marker):
             raise
         holder = read_text(spark, marker)
-        if holder != owner:
+        age = time.time() - modified_at(spark, scan_uri(spark, marker)) / 1000
+        own = holder.rpartition(" [")[0] == owner
+        if not own or age < WRITER_GONE_AFTER:
             raise WriterBusy(
                 f"{folder} is being written by {holder!r}; if that job is gone, delete {marker}"
             ) from error
+        write_text(spark, marker, mine)
     try:
         yield
     finally:
-        delete_file(spark, marker)
+        if read_text(spark, marker) == mine:
+            delete_file(spark, marker)

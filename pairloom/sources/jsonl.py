@@ -2,42 +2,71 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.sources.folders import entry_of, list_folder, literal_path, scan_uri
+from pairloom.sources.folders import (
+    copy_file,
+    entry_of,
+    list_folder,
+    literal_path,
+    scan_uri,
+)
+
+NOT_RECORDS = ("_SUCCESS", "_temporary", "_committed", "_started", "_spark_metadata")
+"""What writers leave in a folder beside their files."""
 
 
 @dataclass(frozen=True)
 class InputFile:
-    """One argument of a load: `uri` is None when there is no such file."""
+    """One argument of a load: `uri` is None when there is no such file, or when it is a
+    folder inside a folder."""
 
     path: str
     uri: str | None
+    is_folder: bool = False
 
 
-def find_files(spark: SparkSession, paths: Iterable[str]) -> list[InputFile]:
+def find_files(spark: SparkSession, paths: Iterable[str], staging: str) -> list[InputFile]:
     """Resolve arguments in order. A folder stands for the files in it, by name; a file
-    given twice is listed twice."""
+    given twice is listed twice.
+
+    Spark's readers pass over names that begin with `_` or `.`. Such a file is copied to
+    `staging` under a plain name and read there.
+    """
     found = []
     for path in paths:
         entry = entry_of(spark, path)
         if entry is None:
             found.append(InputFile(path, None))
         elif entry.is_file:
-            found.append(InputFile(path, scan_uri(spark, path)))
+            found.append(InputFile(path, _readable(spark, path, entry.name, staging)))
         else:
             found += [
-                InputFile(e.path, scan_uri(spark, e.path))
+                InputFile(e.path, _readable(spark, e.path, e.name, staging))
+                if e.is_file
+                else InputFile(e.path, None, is_folder=True)
                 for e in list_folder(spark, path)
-                if e.is_file and not e.name.startswith((".", "_"))
+                if e.name not in NOT_RECORDS and not e.name.endswith(".crc")
             ]
     return found
 
 
+def _readable(spark: SparkSession, path: str, name: str, staging: str) -> str:
+    if not name.startswith((".", "_")):
+        return scan_uri(spark, path)
+    # One copy for a file that is given twice.
+    copy = f"{staging}/{hashlib.sha256(path.encode()).hexdigest()}.jsonl"
+    if entry_of(spark, copy) is None:
+        copy_file(spark, path, copy)
+    return scan_uri(spark, copy)
+
+
 def line_columns() -> list:
     return [
         F.col("value"),
@@ -61,11 +90,11 @@ def scan_lines(spark: SparkSession, files: Iterable[InputFile]) -> DataFrame:
     Lines end at `\\n` only; Spark's default would also break at a lone `\\r`. A file
     given twice is read once, see `operators.numbering`.
     """
-    unique = {f.uri: f.path for f in files if f.uri is not None}
+    unique = list(dict.fromkeys(f.uri for f in files if f.uri is not None))
     if not unique:
         empty = "value string, file_path string, block_start long, mid long"
         return spark.createDataFrame([], empty)
     text = spark.read.option("lineSep", "\n").text(
-        [literal_path(p) for p in unique.values()]
+        [literal_path(unquote(uri)) for uri in unique]
     )
     return number_in_task(text.select(*line_columns()))

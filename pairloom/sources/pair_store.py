@@ -17,7 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.schema import STORE_SCHEMA
-from pairloom.sources.folders import glob, make_folder, path_exists
+from pairloom.sources.folders import (
+    MARKER,
+    WITH_MARKER,
+    check_marked,
+    glob,
+    make_folder,
+    path_exists,
+)
 
 LOAD_ID = re.compile(r"[A-Za-z0-9._-]+")
 
@@ -46,9 +53,9 @@ class PairStore:
     def batches(self) -> list[Batch]:
         """The committed batches, oldest first."""
         found = []
-        pattern = f"{self.path}/first_id=*/load_id=*/_SUCCESS"
+        pattern = f"{self.path}/first_id=*/load_id=*/{MARKER}"
         for marker in glob(self.spark, pattern):
-            folder = marker.path.removesuffix("/_SUCCESS")
+            folder = marker.path.removesuffix(f"/{MARKER}")
             first, load = folder.rsplit("/", 2)[-2:]
             found.append(
                 Batch(
@@ -87,18 +94,19 @@ class PairStore:
         folder = f"{self.path}/first_id={first_id:020d}/load_id={load_id}"
         rows.select(*STORE_SCHEMA.names).write.mode("overwrite").option(
             "compression", "zstd"
-        ).parquet(folder)
+        ).options(**WITH_MARKER).parquet(folder)
+        check_marked(self.spark, folder)
 
     def rejects_path(self, load_id: str) -> str:
         return f"{self.path}/_rejects/load_id={check_load_id(load_id)}"
 
 
+def table_exists(spark: SparkSession, name: str) -> bool:
+    """The same probe for a collection kept as a catalog table."""
+    return spark.catalog.tableExists(name)
+
+
 def check_load_id(load_id: str) -> str:
     if not LOAD_ID.fullmatch(load_id):
         raise ValueError(f"a load id may hold letters, digits, '.', '_', '-': {load_id!r}")
     return load_id
-
-
-def table_exists(spark: SparkSession, name: str) -> bool:
-    """The same probe for a collection kept as a catalog table."""
-    return spark.catalog.tableExists(name)

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from pairloom.plans.load import LoadResult, load_lines
-from pairloom.sources.folders import make_folder, path_exists, read_text, write_text
+from pairloom.plans.load import LoadResult, load_files, load_lines
+from pairloom.sources.folders import (
+    changes_in,
+    glob,
+    make_folder,
+    path_exists,
+    read_text,
+    write_text,
+)
 from pairloom.sources.jsonl import line_columns, number_in_task
 from pairloom.sources.pair_store import PairStore
 from pairloom.taxonomy import TAXONOMY, Taxonomy
@@ -39,8 +47,8 @@ def start_load_stream(
 
     With `processing_time` (`"1 hour"`) the query keeps running instead. The store is the
     state: a record delivered again is skipped however old it is, and nothing grows in
-    the stream. Spark takes files by age; those of one micro-batch are read in the order
-    of their names. Each micro-batch is one load named after the checkpoint and the batch
+    the stream. Spark takes files by age; so are those of one micro-batch read, and then by
+    name. A path is taken once: for files that are rewritten see `load_arrivals`. Each micro-batch is one load named after the checkpoint and the batch
     number, so a batch replayed after a crash is not stored twice. Spark allows one
     running query per checkpoint.
     """
@@ -79,6 +87,57 @@ def _stream_id(spark: SparkSession, checkpoint: str) -> str:
     return read_text(spark, path)
 
 
+def load_arrivals(
+    spark: SparkSession,
+    folder: str,
+    store: PairStore,
+    log: str,
+    max_files: int = 1000,
+    taxonomy: Taxonomy = TAXONOMY,
+) -> list[LoadResult]:
+    """One scheduled run over a folder whose files may be written again under their names.
+
+    A file is loaded if its time or size is not the one in the log, that is also after it
+    was rewritten; the store skips records it has. Files go by time and then by name, and
+    in loads of `max_files`, which does not change what is stored. Each load is written to
+    the log as a plan before and as done after, under one number; a run that finds a
+    plan that is not done repeats it under the same load id, so a crash neither loses
+    nor doubles a file.
+    """
+    store.create()
+    make_folder(spark, log)
+    stream_id = _stream_id(spark, log)
+    number, seen = 0, {}
+    plans = {int(e.name.removesuffix(".plan")) for e in glob(spark, f"{log}/*.plan")}
+    done = {int(e.name.removesuffix(".done")) for e in glob(spark, f"{log}/*.done")}
+    results = []
+
+    def run(number: int, files: list, seen: dict) -> dict:
+        paths = [path for path, _, _ in files]
+        name = f"arrivals {stream_id}"
+        results.append(
+            load_files(spark, paths, store, f"{stream_id}-{number}", taxonomy, owner=name)
+        )
+        write_text(spark, f"{log}/{number}.done", "")
+        return seen | {path: [modified, size] for path, modified, size in files}
+
+    if plans:
+        number = max(plans)
+        plan = json.loads(read_text(spark, f"{log}/{number}.plan"))
+        seen = plan["seen"]
+        if number not in done:
+            seen = run(number, plan["files"], seen)
+        else:
+            seen |= {path: [modified, size] for path, modified, size in plan["files"]}
+    fresh = [f for f in changes_in(spark, folder) if seen.get(f[0]) != [f[1], f[2]]]
+    for start in range(0, len(fresh), max_files):
+        files, number = fresh[start : start + max_files], number + 1
+        plan = json.dumps({"files": files, "seen": seen})
+        write_text(spark, f"{log}/{number}.plan", plan, overwrite=False)
+        seen = run(number, files, seen)
+    return results
+
+
 def load_stream(
     spark: SparkSession, folder: str, store: PairStore, checkpoint: str, **options
 ) -> list[LoadResult]:

@@ -13,9 +13,16 @@ from pairloom.operators import conform, coverage, gaps
 from pairloom.plans.export import export_shards, export_store
 from pairloom.plans.load import LoadResult, load_files, rejected_records
 from pairloom.schema import EXPORT_FIELDS, LIST_FIELDS, RECORD_FIELDS
-from pairloom.session import configure, engine_settings, written
+from pairloom.session import engine_settings, written
+from pairloom.sources.folders import (
+    delete_file,
+    glob,
+    make_folder,
+    path_exists,
+    rename_file,
+)
 from pairloom.sources.pair_store import PairStore
-from pairloom.streaming.ingest import load_stream
+from pairloom.streaming.ingest import load_arrivals, load_stream
 from pairloom.taxonomy import TAXONOMY
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -426,6 +433,67 @@ def _stream_load_rows(spark, sf_dir):
     return _flat(store.read(), RECORD_FIELDS)
 
 
+def _publish(spark: SparkSession, lines: DataFrame, folder: str, name: str) -> str:
+    """Put the lines into `folder` as `<name><number>`, in place of files of these names."""
+    staged = workload.write_lines(lines, workload.scratch_folder(spark, "staged"))
+    make_folder(spark, folder)
+    for k, file in enumerate(glob(spark, f"{staged}/part-*")):
+        target = f"{folder}/{name}{k:05d}.jsonl"
+        if path_exists(spark, target):
+            delete_file(spark, target)
+        rename_file(spark, file.path, target)
+    return folder
+
+
+@query("load_odd_names", LOADED_SQL)
+def _load_odd_names(spark, sf_dir):
+    """Files whose names Spark's own readers pass over."""
+    folder, store = workload.scratch_folder(spark, "odd"), _new_store(spark)
+    _publish(spark, workload.mixed_lines(spark, sf_dir), folder, "_part ")
+    load_files(spark, [folder], store)
+    return _flat(store.read(), RECORD_FIELDS)
+
+
+@query(
+    "load_ids",
+    f"""{WITH_PAIRS} SELECT task_id,
+    row_number() OVER (ORDER BY id % 2, id) AS id FROM p""",
+)
+def _load_ids(spark, sf_dir):
+    """Ids follow the order in which the inputs are given, not their names."""
+    lines, store = workload.valid_lines(spark, sf_dir), _new_store(spark)
+    first = _publish(spark, lines.where("id % 2 = 0"), workload.scratch_folder(spark, "z"), "z")
+    then = _publish(spark, lines.where("id % 2 = 1"), workload.scratch_folder(spark, "a"), "a")
+    load_files(spark, [first, then], store)
+    return store.read().select("task_id", "id")
+
+
+@query(
+    "load_missing_and_repeated_inputs",
+    f"""{WITH_PAIRS}, c AS (SELECT count(*) FILTER (k IN {INSERTED}) AS i,
+    count(*) FILTER (k IN {SKIPPED}) AS s,
+    count(*) FILTER (k NOT IN {INSERTED} AND k NOT IN {SKIPPED}) AS f FROM p)
+    SELECT 'loaded' AS status, i AS inserted, i + 2 * s AS skipped, 2 * f AS failed FROM c
+    UNION ALL SELECT 'missing', 0, 0, 0""",
+)
+def _load_missing_and_repeated_inputs(spark, sf_dir):
+    folder, store = _mixed_input(spark, sf_dir), _new_store(spark)
+    result = load_files(spark, [folder, f"{folder}-none", folder], store)
+    sums = [F.sum(c).alias(c) for c in ("inserted", "skipped", "failed")]
+    return result.as_frame(spark).groupBy("status").agg(*sums)
+
+
+@query("arrivals_rewritten_files", f"{WITH_PAIRS} SELECT {_flat_sql(RECORD_FIELDS)} FROM p")
+def _arrivals_rewritten_files(spark, sf_dir):
+    """Files that are written again under their names, a few of them at a time."""
+    lines, store = workload.valid_lines(spark, sf_dir), _new_store(spark)
+    folder, log = workload.scratch_folder(spark, "in"), workload.scratch_folder(spark, "log")
+    for part in (lines.where("id % 3 = 1"), lines):
+        _publish(spark, part, folder, "result")
+        load_arrivals(spark, folder, store, log, max_files=4)
+    return _flat(store.read(), RECORD_FIELDS)
+
+
 @query(
     "load_then_coverage",
     f"""{WITH_PAIRS} SELECT domain AS a, difficulty AS b,
@@ -541,10 +609,11 @@ VIOLATIONS_SQL = ", ".join(
     FROM p JOIN v ON p.k = v.k""",
 )
 def _conform_violations(spark, sf_dir):
-    configure(spark)
     lines = workload.mixed_lines(spark, sf_dir)
-    stored = written(lines, workload.scratch_folder(spark, "mixed"))
-    return conform.strict_violations(stored)
+    with engine_settings(spark):
+        stored = written(lines, workload.scratch_folder(spark, "mixed"))
+        found = conform.strict_violations(stored)
+        return written(found, workload.scratch_folder(spark, "violations"))
 
 
 @query(
@@ -560,7 +629,6 @@ def _conform_violations(spark, sf_dir):
 )
 def _task_id_format(spark, sf_dir):
     """Ids made of event times, some of them with an hour that does not exist."""
-    configure(spark)
     hour = F.lpad((F.col("event_id") % 30).cast("string"), 2, "0")
     task_id = F.concat(
         F.lit("event-"),
@@ -570,6 +638,8 @@ def _task_id_format(spark, sf_dir):
         F.date_format("ts", "mmss"),
     )
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return events.groupBy(
+    found = events.groupBy(
         "event_type", conform.has_timestamp_id(task_id).alias("conforms")
     ).agg(F.count("*").alias("n"))
+    with engine_settings(spark):
+        return written(found, workload.scratch_folder(spark, "ids"))

@@ -88,9 +88,16 @@ def test_folder_and_odd_file_names(spark, tmp_path, store):
     names = ["a b%20.jsonl", "b[1]*?{x}.jsonl", "c#ä.jsonl", "_hidden", ".dot"]
     for name in names:
         write_file(folder / name, [record(name)])
+    (folder / "sub").mkdir()
     result = load_files(spark, [str(folder)], store)
-    assert counts(result) == (3, 0, 0)
-    assert ids_in_order(store) == names[:3]
+    assert counts(result) == (5, 0, 0)
+    assert ids_in_order(store) == sorted(names)
+    assert {f.path.rpartition("/")[2] for f in result.files if f.status == "folder"} == {"sub"}
+    again = [str(folder / name) for name in ("_hidden", "_hidden", ".dot", "none")]
+    result = load_files(spark, again, store)
+    assert [(f.status, f.skipped) for f in result.files] == [
+        ("loaded", 1), ("loaded", 1), ("loaded", 1), ("missing", 0)
+    ]
 
 
 def test_order_over_many_splits(spark, tmp_path, store):
@@ -313,3 +320,36 @@ def test_keep_lines_over_many_runs(spark, monkeypatch, own_choice_of_joins, line
 def test_nothing_dropped_needs_no_join(spark):
     rows = spark.range(5).select(F.col("id").alias("line"))
     assert new_keys.keep_lines(rows, rows, 5, 5, 5) is rows
+
+
+def test_a_load_without_markers_by_default_is_kept(spark, tmp_path, store):
+    path = write_file(tmp_path / "f.jsonl", [record("a"), "{"])
+    conf = spark._jsc.hadoopConfiguration()
+    key = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf.set(key, "false")
+    try:
+        result = load_files(spark, [path], store)
+    finally:
+        conf.unset(key)
+    assert store.read().count() == result.inserted == 1
+    assert rejected_records(spark, store, result.load_id).count() == 1
+
+
+def test_a_stream_takes_only_its_own_old_marker(spark, tmp_path, monkeypatch):
+    from pairloom.sources import folders
+
+    folder = tmp_path / "store"
+    folder.mkdir()
+    with folders.single_writer(spark, str(folder), "stream s"):
+        with pytest.raises(WriterBusy):
+            with folders.single_writer(spark, str(folder), "stream s"):
+                pass
+        assert (folder / "_writer").exists()
+    (folder / "_writer").write_text("stream s [app-1 x]")
+    monkeypatch.setattr(folders, "WRITER_GONE_AFTER", -1)
+    with pytest.raises(WriterBusy):
+        with folders.single_writer(spark, str(folder), "stream t"):
+            pass
+    with folders.single_writer(spark, str(folder), "stream s"):
+        assert "app-1" not in (folder / "_writer").read_text()
+    assert not (folder / "_writer").exists()

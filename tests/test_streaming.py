@@ -1,5 +1,7 @@
 """Scheduled pick-up of files: batch and stream agree, nothing is loaded twice."""
 
+import os
+
 import pytest
 
 import workload
@@ -31,6 +33,9 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path):
         folder = workload.write_lines(lines, str(tmp_path / "in"))
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    # A stream goes by age, a batch by name; here the two agree.
+    for age, file in enumerate(sorted((tmp_path / "in").glob("part-*"))):
+        os.utime(file, (1_700_000_000 + age, 1_700_000_000 + age))
     batch = PairStore(spark, str(tmp_path / "batch"))
     expected = load_files(spark, [folder], batch)
     for files_at_once in (1000, 3):
@@ -44,13 +49,8 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path):
         )
         found = [sum(t) for t in zip(*totals(results))]
         assert found == [expected.inserted, expected.skipped, expected.failed]
-        if files_at_once == 1000:
-            assert len(results) == 1 and rows(batch) == rows(stream)
-        else:
-            # Files written at the same time arrive in any order, and with them the
-            # records that share a key; the keys are the same.
-            assert len(results) > 1
-            assert {r[0] for r in rows(batch)} == {r[0] for r in rows(stream)}
+        assert (len(results) == 1) == (files_at_once == 1000)
+        assert rows(batch) == rows(stream)
 
 
 def test_new_files_only_and_repeated_records(spark, folders):
@@ -90,9 +90,12 @@ def test_a_replayed_batch_is_stored_once(spark, folders, monkeypatch):
     with pytest.raises(Exception, match="lost driver"):
         query.awaitTermination()
     assert store.read().count() == 2
-    # A crash leaves the writer's marker behind; the same stream may take it again.
-    marker = f"stream {ingest._stream_id(spark, checkpoint)}"
-    (source.parent / "store" / "_writer").write_text(marker)
+    # A crash leaves the writer's marker behind; the same stream takes it again in time.
+    marker = source.parent / "store" / "_writer"
+    marker.write_text(f"stream {ingest._stream_id(spark, checkpoint)} [app-1 x]")
+    with pytest.raises(Exception, match="is being written"):
+        ingest.load_stream(spark, str(source), store, checkpoint)
+    os.utime(marker, (1_700_000_000, 1_700_000_000))
     results = ingest.load_stream(spark, str(source), store, checkpoint)
     assert [r.replayed for r in results] == [True]
     assert store.read().count() == 2 and len(store.batches()) == 1
@@ -120,3 +123,56 @@ def test_long_running_query(spark, folders):
     finally:
         query.stop()
     assert totals(results) == [(1, 1, 0)]
+
+
+def arrive(path, tasks, at):
+    write_file(path, [record(task) for task in tasks])
+    os.utime(path, (at, at))
+
+
+def test_a_rewritten_file_is_loaded_again(spark, folders):
+    source, log, path = folders
+    store = PairStore(spark, path)
+    arrive(source / "result.jsonl", ["a"], 1_700_000_000)
+    assert totals(ingest.load_arrivals(spark, str(source), store, log)) == [(1, 0, 0)]
+    assert ingest.load_arrivals(spark, str(source), store, log) == []
+    arrive(source / "result.jsonl", ["a", "b"], 1_700_000_001)
+    arrive(source / "_odd.jsonl", ["c"], 1_700_000_002)
+    assert totals(ingest.load_arrivals(spark, str(source), store, log)) == [(2, 1, 0)]
+    assert ingest.load_arrivals(spark, str(source), store, log) == []
+    assert {r[0] for r in rows(store)} == {"a", "b", "c"}
+
+
+def test_number_of_files_at_once_does_not_change_arrivals(spark, folders, tmp_path):
+    source, log, path = folders
+    for at, name in enumerate(["c", "a", "b", "d"]):
+        write_file(source / f"{name}.jsonl", [record("same", context=name), record(name)])
+        os.utime(source / f"{name}.jsonl", (1_700_000_000 + at // 2, 1_700_000_000 + at // 2))
+    found = []
+    for most in (1, 3, 1000):
+        store = PairStore(spark, f"{path}-{most}")
+        ingest.load_arrivals(spark, str(source), store, f"{log}-{most}", max_files=most)
+        found.append(rows(store))
+    assert found[0] == found[1] == found[2]
+    assert [r[6] for r in found[0] if r[0] == "same"] == ["a"]
+
+
+def test_an_arrival_is_not_lost_by_a_crash(spark, folders, monkeypatch):
+    source, log, path = folders
+    store = PairStore(spark, path)
+    arrive(source / "1.jsonl", ["a"], 1_700_000_000)
+    real = ingest.write_text
+
+    def fail_when_done(spark, name, text, overwrite=True):
+        if name.endswith(".done"):
+            raise OSError("lost")
+        real(spark, name, text, overwrite)
+
+    monkeypatch.setattr(ingest, "write_text", fail_when_done)
+    with pytest.raises(OSError, match="lost"):
+        ingest.load_arrivals(spark, str(source), store, log)
+    monkeypatch.setattr(ingest, "write_text", real)
+    arrive(source / "2.jsonl", ["b"], 1_700_000_001)
+    results = ingest.load_arrivals(spark, str(source), store, log)
+    assert [r.replayed for r in results] == [True, False]
+    assert sorted(r[0] for r in rows(store)) == ["a", "b"]

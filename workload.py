@@ -15,8 +15,12 @@ from pairloom.taxonomy import axis_values
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder in the shared folder the cluster names; in the local temporary
-    folder only where it names none, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    folder only where it names none and all work is done on this machine."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        root = tempfile.gettempdir()
     return f"{root}/pairloom-{name}-{uuid.uuid4().hex}"
 
 
