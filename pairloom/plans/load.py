@@ -29,7 +29,7 @@ from pairloom.sources.folders import (
     single_writer,
 )
 from pairloom.sources.jsonl import InputFile, find_files, scan_lines
-from pairloom.sources.pair_store import PairStore
+from pairloom.sources.pair_store import PairStore, key_bucket
 from pairloom.taxonomy import TAXONOMY, Taxonomy
 
 LOADED, MISSING, CUT, FOLDER = "loaded", "missing", "error", "folder"
@@ -172,7 +172,7 @@ def load_lines(
             key_bytes = 24 * ok + sum(
                 per_file[uri].key_bytes for uri in order if uri in per_file
             )
-            new = written(_new_lines(good, store, key_bytes), f"{work}/new")
+            new = written(_new_lines(good, store, key_bytes, work), f"{work}/new")
             # `file_ord` counts the existing files only.
             position = [i for i, f in enumerate(files) if f.uri is not None]
             for ord_, n in new.groupBy("file_ord").count().collect():
@@ -181,7 +181,7 @@ def load_lines(
                 first_id = store.last_id() + 1
                 span = sum(per_file[uri].lines for uri in order if uri in per_file)
                 kept = keep_lines(good, new, sum(inserted), ok, span)
-                store.append(_stored_rows(kept, first_id), first_id, load_id)
+                store.append(_stored_rows(kept, first_id), first_id, load_id, sum(inserted))
 
     return LoadResult(
         load_id,
@@ -205,11 +205,14 @@ def _counts(numbered, files, per_file, recount) -> list[tuple[int, int]]:
     return [by_path.get(f.uri, (0, 0)) for f in files]
 
 
-def _new_lines(good: DataFrame, store: PairStore, key_bytes: int) -> DataFrame:
+def _new_lines(good: DataFrame, store: PairStore, key_bytes: int, work: str) -> DataFrame:
     first = first_of_each(good.select("rec.task_id", "line", "file_ord"))
     if store.batches():
+        first = written(first, f"{work}/first")
+        # At most MOST_BUCKETS numbers.
+        buckets = first.select(key_bucket("task_id").alias("b")).distinct().collect()
         small = key_bytes <= KEY_BYTES_TO_BROADCAST
-        first = not_stored(first, store.read(), small=small)
+        first = not_stored(first, store.keys([r.b for r in buckets]), small=small)
     return first.select("line", "file_ord")
 
 

@@ -2,10 +2,15 @@
 
     <store>/first_id=<n>/load_id=<name>/part-*.parquet, _SUCCESS
     <store>/_rejects/load_id=<name>/part-*.parquet
+    <store>/_keys/load_id=<name>/buckets=<B>/bucket=<b>/part-*.parquet
 
 A batch belongs to the collection once Spark has put its `_SUCCESS` marker there, so a
 load is visible as a whole or not at all, on object stores as well, and no file is ever
 moved or rewritten. A batch left without the marker by a lost driver is never read.
+
+A large batch also keeps its keys in buckets by hash, written before it is committed, so that
+a later load reads the buckets its own keys fall into instead of all keys. A batch without
+them, being small, is looked up in its own key column.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.schema import STORE_SCHEMA
@@ -27,6 +32,13 @@ from pairloom.sources.folders import (
 )
 
 LOAD_ID = re.compile(r"[A-Za-z0-9._-]+")
+# Numbers of buckets are powers of two, so one hash modulo the largest gives them all.
+MOST_BUCKETS = 256
+KEYS_PER_BUCKET = 500_000
+
+
+def key_bucket(key: str, buckets: int = MOST_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
 @dataclass(frozen=True)
@@ -88,9 +100,43 @@ class PairStore:
     def has_load(self, load_id: str) -> bool:
         return any(b.load_id == load_id for b in self.batches())
 
-    def append(self, rows: DataFrame, first_id: int, load_id: str) -> None:
-        """Write one batch whose ids are all >= `first_id`, above every id given out."""
+    def keys(self, buckets: list[int]) -> DataFrame:
+        """`(task_id)` of every stored pair whose `key_bucket` is among `buckets`, and of
+        the batches that keep no buckets."""
+        batches = {b.load_id: b for b in self.batches()}
+        parts: dict[int, list[str]] = {}
+        for entry in glob(self.spark, f"{self.path}/_keys/load_id=*/buckets=*/{MARKER}"):
+            folder = entry.path.removesuffix(f"/{MARKER}")
+            load_id = folder.rsplit("/", 2)[-2].removeprefix("load_id=")
+            if batches.pop(load_id, None):
+                parts.setdefault(int(folder.rpartition("=")[2]), []).append(folder)
+        found = self._read(list(batches.values())).select("task_id")
+        for n, folders in parts.items():
+            wanted = sorted({b % n for b in buckets})
+            kept = self.spark.read.schema("task_id string, bucket int").parquet(*folders)
+            found = found.unionByName(
+                kept.where(F.col("bucket").isin(wanted)).select("task_id")
+            )
+        return found
+
+    def _write_keys(self, rows: DataFrame, load_id: str, n_rows: int) -> None:
+        buckets = 1
+        while buckets < MOST_BUCKETS and 2 * buckets * KEYS_PER_BUCKET <= n_rows:
+            buckets *= 2
+        if buckets == 1:
+            return
+        folder = f"{self.path}/_keys/load_id={load_id}/buckets={buckets}"
+        keys = rows.select("task_id", key_bucket("task_id", buckets).alias("bucket"))
+        keys.repartition(buckets, "bucket").write.mode("overwrite").partitionBy(
+            "bucket"
+        ).options(**WITH_MARKER).parquet(folder)
+        check_marked(self.spark, folder)
+
+    def append(self, rows: DataFrame, first_id: int, load_id: str, n_rows: int) -> None:
+        """Write one batch of `n_rows` whose ids are all >= `first_id`, above every id given
+        out."""
         check_load_id(load_id)
+        self._write_keys(rows, load_id, n_rows)
         folder = f"{self.path}/first_id={first_id:020d}/load_id={load_id}"
         rows.select(*STORE_SCHEMA.names).write.mode("overwrite").option(
             "compression", "zstd"

@@ -2,6 +2,7 @@
 
 import json
 from contextlib import contextmanager
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -353,3 +354,41 @@ def test_a_stream_takes_only_its_own_old_marker(spark, tmp_path, monkeypatch):
     with folders.single_writer(spark, str(folder), "stream s"):
         assert "app-1" not in (folder / "_writer").read_text()
     assert not (folder / "_writer").exists()
+
+
+def test_a_new_key_reads_its_bucket_only(spark, tmp_path, store, monkeypatch):
+    from pairloom.sources import pair_store
+
+    monkeypatch.setattr(pair_store, "KEYS_PER_BUCKET", 5)
+    for n in (100, 40, 3):
+        path = write_file(tmp_path / f"{n}.jsonl", [record(f"{n}-{k}") for k in range(n)])
+        assert load_files(spark, [path], store).inserted == n
+    key = spark.createDataFrame([("100-7",)], "task_id string")
+    bucket = key.select(pair_store.key_bucket("task_id")).first()[0]
+    found = store.keys([bucket])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(bucket") == 2
+    read = [r[0] for r in found.select(F.input_file_name()).distinct().collect()]
+    files = [f for f in read if "/_keys/" in f]
+    assert {f.split("buckets=")[1].split("/part")[0] for f in files} <= {
+        f"{n}/bucket={bucket % n}" for n in (8, 16)
+    }
+    assert "100-7" in {r.task_id for r in found.collect()}
+    assert {f"3-{k}" for k in range(3)} <= {r.task_id for r in found.collect()}
+    again = write_file(tmp_path / "again.jsonl", [record("100-7"), record("40-1"), record("x")])
+    assert counts(load_files(spark, [again], store)) == (1, 2, 0)
+    assert counts(load_files(spark, [path], store)) == (0, 3, 0)
+
+
+def test_keys_of_a_lost_load_do_not_count(spark, tmp_path, store, monkeypatch):
+    from pairloom.sources import pair_store
+
+    monkeypatch.setattr(pair_store, "KEYS_PER_BUCKET", 2)
+    first = write_file(tmp_path / "1.jsonl", [record("kept")])
+    load_files(spark, [first], store)
+    rows = [record(f"k{k}") for k in range(20)]
+    path = write_file(tmp_path / "2.jsonl", rows)
+    load_files(spark, [path], store, load_id="lost")
+    (batch,) = [b for b in store.batches() if b.load_id == "lost"]
+    Path(batch.path.removeprefix("file:"), "_SUCCESS").unlink()
+    assert load_files(spark, [path], store).inserted == 20
