@@ -1,8 +1,8 @@
 """Fuzzy line dedup: SimHash, pigeonhole blocks, edit similarity, connected groups.
 
 Lines are normalised (A-Z lower-cased, digits to 0, ASCII marks to spaces, spaces run
-together). Equal lines are one row from there on. Each gets a SimHash of its words and word
-pairs. Two fingerprints within `most_different` bits leave at least `blocks -
+together). Equal lines are one row from there on. Each gets a SimHash of its pairs of
+neighbouring words; of single words, long lines of one language would all look alike. Two fingerprints within `most_different` bits leave at least `blocks -
 most_different` of their `blocks` blocks equal, so all fingerprints are dealt by every choice
 of that many blocks and compared within it. Lines whose fingerprints are connected are
 candidates; their texts are compared in tiles of `TILE` by `TILE` lines, so a candidate set
@@ -24,12 +24,12 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import Scratch, lookup
+from pairloom.llm.common import IDS_TO_BROADCAST, Scratch, lookup, text_batches
 from pairloom.llm.components import connected_components
 from pairloom.llm.simhash_anchors import links_within_keys
 
@@ -53,38 +53,33 @@ def _lines_of():
 
     table = _normalising_table()
     names = ["id", "line", "start", "end", "digest", "print", "norm"]
-    known: dict[bytes, int] = {}
+    class Hashes(dict):
+        def __missing__(self, word: bytes) -> int:
+            if len(self) >= WORDS_KEPT:
+                self.clear()
+            found = self[word] = xxhash.xxh64_intdigest(word)
+            return found
 
-    def hash_of(word: bytes) -> int:
-        found = known.get(word)
-        if found is None:
-            if len(known) >= WORDS_KEPT:
-                known.clear()
-            found = known[word] = xxhash.xxh64_intdigest(word)
-        return found
+    hashes = Hashes()
 
     def prints_of(lines: list[list[bytes]]):
-        """SimHash of the words and pairs of neighbours of each line."""
+        """SimHash of the pairs of neighbouring words of each line, and its last word."""
         sizes = np.array([len(words) for words in lines])
         first = np.cumsum(sizes) - sizes
-        words = np.fromiter((hash_of(w) for ws in lines for w in ws), np.uint64, sizes.sum())
-        pairs = words[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ (words[1:] >> np.uint64(7)) * np.uint64(
-            0xC2B2AE3D27D4EB4F
-        )
-        # The last word of a line has no pair: it is counted twice instead.
-        both = np.append(pairs, np.uint64(0))
-        ends = first + sizes - 1
-        both[ends] = words[ends]
-        prints = np.zeros(len(lines), np.uint64)
-        for shift in range(0, 64, 8):
-            votes = np.zeros((len(words), 8), np.int32)
-            for h in (words, both):
-                byte = (h >> np.uint64(shift)).astype(np.uint8)
-                votes += np.unpackbits(byte[:, None], axis=1, bitorder="little")
-            bits = 2 * np.add.reduceat(votes, first, axis=0) > 2 * sizes[:, None]
-            byte = np.packbits(bits, axis=1, bitorder="little")[:, 0].astype(np.uint64)
-            prints |= byte << np.uint64(shift)
-        return prints.view(np.int64)
+        words = map(hashes.__getitem__, chain.from_iterable(lines))
+        words = np.fromiter(words, "<u8", sizes.sum())
+        pairs = words.copy()
+        pairs[:-1] = words[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ words[1:]
+        pairs[first + sizes - 1] = words[first + sizes - 1]
+        bits = np.unpackbits(pairs.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        # Eight counts are added as one number; 255 bits leave no carry between them.
+        parts = -(-sizes // 255)
+        begins = np.cumsum(parts) - parts
+        within = np.arange(parts.sum()) - np.repeat(begins, parts)
+        starts = np.repeat(first, parts) + 255 * within
+        counts = np.add.reduceat(bits.view(np.uint64), starts, axis=0).view(np.uint8)
+        counts = np.add.reduceat(counts, begins, axis=0, dtype=np.int32)
+        return np.packbits(2 * counts > sizes[:, None], axis=1, bitorder="little").view("<i8")[:, 0]
 
     def batches(parts: Iterator) -> Iterator:
         for part in parts:
@@ -129,15 +124,34 @@ def block_keys(print_: Column, blocks: int, most_different: int) -> Column:
     return F.array(*keys)
 
 
+def _alike(a: str, b: str) -> int:
+    """Length of the common beginning."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
 def _within(a: bytes, b: bytes, most: int) -> bool:
-    """Is the edit distance at most `most`? Bit-parallel over the characters of `a`."""
-    if abs(len(a) - len(b)) > most:
-        return False
+    """Is the edit distance at most `most`? Bit-parallel over the characters of the shorter
+    text, after what both begin and end with is taken off."""
     x, y = a.decode(), b.decode()
+    start = _alike(x, y)
+    x, y = x[start:][::-1], y[start:][::-1]
+    end = _alike(x, y)
+    x, y = x[end:], y[end:]
     if len(x) < len(y):
         x, y = y, x
+    if len(x) - len(y) > most:
+        return False
+    if len(x) <= most:  # no more edits than characters of the longer text
+        return True
     if not y:
-        return len(x) <= most
+        return False
     places: dict[str, int] = {}
     for i, c in enumerate(y):
         places[c] = places.get(c, 0) | 1 << i
@@ -161,6 +175,7 @@ def _within(a: bytes, b: bytes, most: int) -> bool:
 
 
 def _verify(most_different: int, similarity: float):
+    import numpy as np
     import pandas as pd
 
     def tile(lines: pd.DataFrame) -> pd.DataFrame:
@@ -176,18 +191,21 @@ def _verify(most_different: int, similarity: float):
             return d
 
         found = []
-        right = list(zip(columns["digest"], columns["print"], columns["norm"]))
-        for digest, print_, norm in zip(rows["digest"], rows["print"], rows["norm"]):
-            for other, other_print, other_norm in right:
-                if digest == other or (print_ ^ other_print).bit_count() > most_different:
-                    continue
-                a, b = root(digest), root(other)
-                if a == b:
-                    continue
-                longer = max(len(norm.decode()), len(other_norm.decode()))
-                if _within(norm, other_norm, int((1 - similarity) * longer + 1e-9)):
-                    parent[max(a, b)] = min(a, b)
-                    found.append((digest, other))
+        left, right = rows["print"].to_numpy("uint64"), columns["print"].to_numpy("uint64")
+        near = np.bitwise_count(left[:, None] ^ right) <= most_different
+        texts = rows["norm"].tolist(), columns["norm"].tolist()
+        names = rows["digest"].tolist(), columns["digest"].tolist()
+        for i, j in zip(*(at.tolist() for at in np.nonzero(near))):
+            digest, other, norm, other_norm = names[0][i], names[1][j], texts[0][i], texts[1][j]
+            if digest == other:
+                continue
+            a, b = root(digest), root(other)
+            if a == b:
+                continue
+            longer = max(len(norm.decode()), len(other_norm.decode()))
+            if _within(norm, other_norm, int((1 - similarity) * longer + 1e-9)):
+                parent[max(a, b)] = min(a, b)
+                found.append((digest, other))
         return pd.DataFrame(found, columns=["u", "v"])
 
     return tile
@@ -216,8 +234,12 @@ def line_groups(
     sizes = scratch.write(sizes, "sizes")
     block = F.pmod(F.xxhash64("digest"), F.ceil(F.col("m") / TILE)).cast("int")
     members = lookup(placed, sizes, "component", "m").withColumn("block", block)
+    members = scratch.write(members, "candidates")
+    wanted = members.select("digest")
+    if wanted.count() <= IDS_TO_BROADCAST // 4:  # digests are longer than numbers
+        wanted = F.broadcast(wanted)
     texts = (
-        lines.join(members.select("digest"), "digest", "left_semi")
+        lines.join(wanted, "digest", "left_semi")
         .groupBy("digest")
         .agg(F.first("norm").alias("norm"))
     )
@@ -250,6 +272,7 @@ def fuzzy_line_dedup(
     More `blocks` make more, but more selective keys; the result is the same.
     """
     scratch = Scratch(docs.sparkSession, "lines")
+    text_batches(docs.sparkSession)
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
         F.col(text_col).alias("text"),

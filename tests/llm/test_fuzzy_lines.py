@@ -97,3 +97,22 @@ def test_hot_lines_meet_their_group(spark):
     found = fuzzy.fuzzy_line_dedup(documents(spark, rows)).filter("line = 0")
     kept = {r.keep_id: r["count"] for r in found.groupBy("keep_id").count().collect()}
     assert kept == {1: 8, 10: 89, 100: 199}  # digits count as one another
+
+
+def test_prints_of_lines_of_any_length():
+    import pyarrow as pa
+    import xxhash
+
+    pick = random.Random(8)
+    words = ["".join(pick.choice("abcdefg") for _ in range(4)) for _ in range(40)]
+    lines = [" ".join(pick.choice(words) for _ in range(n)) for n in (1, 2, 254, 255, 256, 700, 3)]
+    batch = pa.RecordBatch.from_pydict({"id": [1], "text": ["\n".join(lines)]})
+    (out,) = fuzzy._lines_of()(iter([batch]))
+    for line, print_ in zip(lines, out.column("print").to_pylist()):
+        hashes = [xxhash.xxh64_intdigest(w) for w in line.encode().split()]
+        pairs = [(a * 0x9E3779B97F4A7C15 ^ b) % (1 << 64) for a, b in zip(hashes, hashes[1:])]
+        features = [*pairs, hashes[-1]]
+        wanted = sum(
+            1 << b for b in range(64) if 2 * sum(f >> b & 1 for f in features) > len(features)
+        )
+        assert print_ % (1 << 64) == wanted
