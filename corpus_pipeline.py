@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pairloom.llm import cuckoo_dedup, mixing, quality_pu, queries, simhash_anchors
+from pairloom.llm import (
+    cuckoo_dedup,
+    mixing,
+    near_jaccard,
+    quality_pu,
+    queries,
+    simhash_anchors,
+)
 from pairloom.llm.common import Scratch, table
 
 ORACLE_SQL = None
@@ -26,6 +33,11 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash_anchors.without_near_copies(docs)
 
 
+def similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of Jaccard similarity 0.8 over five-word shingles."""
+    return near_jaccard.without_similar(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, those of rarer sources up to twice."""
     return mixing.mixed(docs, queries.MIX)
@@ -40,6 +52,7 @@ STAGES = [
     ("quality classifier", quality),
     ("exact dedup", exact),
     ("SimHash near-dedup", near),
+    ("five-word near-dedup", similar),
     ("mixing", mix),
     ("best-fit packing", pack),
 ]
