@@ -8,7 +8,8 @@ and offers each the best it meets; every node keeps the best `neighbours`, and m
 `most_neighbours`, as long as they are all over the threshold, that is while its list is
 saturated. Rounds go on until one finds no new link.
 
-Links over the threshold give components. Inside a component all nodes are compared once
+Every link over the threshold that is met gives components, whether or not a list keeps it.
+Nodes with full lists in different components of a label are compared with one another. Inside a component all nodes are compared once
 more, in tiles of `TILE` by `TILE` nodes, which counts the links that a full list had no
 room for, however large the component is, and puts out counts, never pairs. At the end the
 links of up to `audited` nodes are compared with brute force over all vectors; if fewer than
@@ -185,6 +186,30 @@ def _tile(width: str, threshold: float):
     return counted
 
 
+def _forest(width: str, threshold: float):
+    """Links that connect what a tile's nodes over the threshold connect."""
+    import numpy as np
+    import pandas as pd
+
+    def linked(rows: pd.DataFrame) -> pd.DataFrame:
+        left = rows[rows["block"] == rows["tile_row"]].sort_values("node")
+        right = rows[rows["block"] == rows["tile_column"]].sort_values("node")
+        near = _unit(left["vector"], width) @ _unit(right["vector"], width).T >= threshold
+        names = left["node"].to_numpy(), right["node"].to_numpy()
+        nodes = np.unique(np.concatenate(names))
+        rows_at, columns_at = (np.searchsorted(nodes, n) for n in names)
+        group, found = np.arange(len(nodes)), []
+        for i, at in enumerate(rows_at.tolist()):
+            met = columns_at[near[i]]
+            others, first = np.unique(group[met], return_index=True)
+            new = others != group[at]
+            found += [(nodes[at], nodes[j]) for j in met[first[new]].tolist()]
+            group[np.isin(group, others[new])] = group[at]
+        return pd.DataFrame(found, columns=["u", "v"]).astype("int64")
+
+    return linked
+
+
 class Graph:
     """Neighbour lists `(u, v, sim)` of the nodes, in a table per round."""
 
@@ -192,9 +217,57 @@ class Graph:
         self.nodes, self.width, self.s, self.scratch = nodes, width, settings, scratch
         self.path = None
         self.lists = None
+        self.met = None  # a forest of all links over the threshold, whatever lists drop
+
+    def _meet(self, links: DataFrame) -> None:
+        """Add links over the threshold to the forest."""
+        if self.met is not None:
+            links = links.unionByName(self.met)
+        joined = connected_components(links, self.scratch)
+        forest = joined.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        self.met = self.scratch.write(forest, "met")
+
+    def across(self, nodes: DataFrame) -> None:
+        """Compare all of these nodes that share a label and a length, in tiles."""
+        sets = nodes.withColumn("set", F.concat_ws("/", F.length("vector"), "label"))
+        counts = sets.groupBy("set").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+        counts = self.scratch.write(counts, "counts")
+        tiles = F.ceil(F.col("m") / TILE).cast("int")
+        forest = (
+            lookup(sets, counts, "set", "m")
+            .withColumn("block", F.pmod(F.xxhash64("node"), tiles).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+            .withColumn("tile_row", F.least("block", "other"))
+            .withColumn("tile_column", F.greatest("block", "other"))
+            .groupBy("set", "tile_row", "tile_column")
+            .applyInPandas(_forest(self.width, self.s.threshold), "u long, v long")
+        )
+        self._meet(forest)
+
+    def bridge(self) -> None:
+        """Find links between full lists. Only two nodes whose lists are both saturated can
+        have dropped their link; those of different components are compared."""
+        full = (
+            self.lists.filter(F.col("sim") >= self.s.threshold)
+            .groupBy("u")
+            .agg(F.count(F.lit(1)).alias("held"))
+            .filter(F.col("held") >= self.s.most_neighbours)
+            .select(F.col("u").alias("node"))
+        )
+        placed = self.met.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        held = full.join(placed, "node").join(self.nodes.select("node", "label", "vector"), "node")
+        held = self.scratch.write(held, "full")
+        several = held.groupBy("label").agg(
+            (F.min("component") < F.max("component")).alias("several"), F.count("*").alias("n")
+        )
+        several = self.scratch.write(several.filter("several").select("label", "n"), "several")
+        if not several.isEmpty():
+            self.across(lookup(held, several, "label", "n").select("node", "label", "vector"))
 
     def _keep(self, offered: DataFrame) -> None:
         """Merge new links into the lists and cut each to its length."""
+        offered = self.scratch.write(offered, "offered")
+        self._meet(offered.filter(F.col("sim") >= self.s.threshold).select("u", "v"))
         both = offered if self.lists is None else self.lists.unionByName(offered)
         rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("sim"), "v"))
         full = (F.col("rank") <= self.s.neighbours) | (
@@ -279,8 +352,8 @@ class Graph:
     def linked(self) -> DataFrame:
         """`(node, component, links)` of every node, with links counted exactly inside
         the components."""
-        over = self.lists.filter(F.col("sim") >= self.s.threshold).select("u", "v")
-        joined = self.scratch.write(connected_components(over, self.scratch), "components")
+        self.bridge()
+        joined = self.met.select(F.col("u").alias("node"), F.col("v").alias("component"))
         sizes = self.scratch.write(
             joined.groupBy("component").agg(F.count(F.lit(1)).alias("m")), "sizes"
         )

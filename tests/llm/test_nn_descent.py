@@ -68,6 +68,20 @@ def test_saturated_lists_lose_no_link(spark):
     assert found == [(i, d, 0) for i, d in enumerate(degree)]
 
 
+def test_saturated_groups_joined_by_weaker_links(spark):
+    random = np.random.default_rng(4)
+    first, second = np.eye(16)[0], np.eye(16)[0] + 0.18 * np.eye(16)[1]
+    rows = [
+        (i, ((first, second)[i % 2] + random.normal(size=16) * 0.003).tolist(), 1)
+        for i in range(120)
+    ]
+    degree, roots = brute_force(rows)
+    assert set(roots) == {0} and min(degree) > 60
+    settings = nn_descent.Settings(neighbours=4, most_neighbours=6, orders=1, window=2, audited=0)
+    found = rows_of(nn_descent.near_vectors(table(spark, rows), settings), "vec_id", "n_links", "component_id")
+    assert found == [(i, d, 0) for i, d in enumerate(degree)]
+
+
 def test_awkward_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
