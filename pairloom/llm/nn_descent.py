@@ -12,8 +12,9 @@ Every link over the threshold that is met gives components, whether or not a lis
 Nodes with full lists in different components of a label are compared with one another. Inside a component all nodes are compared once
 more, in tiles of `TILE` by `TILE` nodes, which counts the links that a full list had no
 room for, however large the component is, and puts out counts, never pairs. At the end the
-links of up to `audited` nodes are compared with brute force over all vectors; if fewer than
-`recall` of them were found, orders by new hyperplanes are added and rounds run again.
+links of `audited` of all nodes, and of half as many that have links, are compared with brute
+force over all vectors. If a node lacks a link, orders by new hyperplanes are added and
+rounds run again; labels that still fail after `most_audits` are compared whole, in tiles.
 
 Defined cases: vectors that are null, empty, all zero, or hold a null or non-finite component,
 and vectors without a label, are their own component with no link. Vectors of different
@@ -44,8 +45,6 @@ class Settings:
     most_neighbours: int = 20
     orders: int = 6
     window: int = 8
-    most_rounds: int = 4
-    recall: float = 0.98
     audited: int = 300
     most_audits: int = 3
     seed: int = 7
@@ -303,8 +302,11 @@ class Graph:
             )
         )
 
-    def links(self) -> int:
-        return self.lists.filter(F.col("sim") >= self.s.threshold).count()
+    def links(self) -> tuple:
+        """Tells whether a round has found a link: lists only ever get better."""
+        over = self.lists.filter(F.col("sim") >= self.s.threshold)
+        checksum = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+        return (*over.agg(F.count(F.lit(1)), checksum).first(), self.met.count())
 
     def refine(self) -> None:
         """One round of neighbours of neighbours."""
@@ -342,7 +344,7 @@ class Graph:
 
     def settle(self) -> None:
         before = self.links()
-        for _ in range(self.s.most_rounds):
+        while True:
             self.refine()
             now = self.links()
             if now == before:
@@ -406,23 +408,21 @@ def brute_force_links(
     return {r.node: r.links for r in found.collect()}
 
 
-def audit(nodes: DataFrame, linked: DataFrame, width: str, settings: Settings) -> float:
-    """Share of the true links of a sample of at most `audited` nodes that were found.
+def audit(nodes: DataFrame, linked: DataFrame, width: str, settings: Settings) -> list[str]:
+    """Labels of which a sampled node lacks a true link; each node counts alike.
 
-    Half of the sample are nodes with links, which are rare among all nodes.
+    `audited` of all nodes are sampled, and half as many of those with links, which are rare.
     """
     sample = lambda df, n: [
         r.node for r in df.orderBy(F.xxhash64("node"), "node").select("node").limit(n).collect()
     ]
-    half = settings.audited // 2
-    chosen = {*sample(nodes, settings.audited - half), *sample(linked, half)}
+    chosen = {*sample(nodes, settings.audited), *sample(linked, settings.audited // 2)}
     queries = nodes.filter(F.col("node").isin(list(chosen))).collect() if chosen else []
     if not queries:
-        return 1.0
+        return []
     true = brute_force_links(nodes, queries, width, settings.threshold)
     found = {r.node: r.links for r in linked.filter(F.col("node").isin(list(chosen))).collect()}
-    total = sum(true.values())
-    return sum(min(found.get(n, 0), t) for n, t in true.items()) / total if total else 1.0
+    return sorted({q.label for q in queries if found.get(q.node, 0) < true.get(q.node, 0)})
 
 
 def near_vectors(
@@ -464,8 +464,11 @@ def near_vectors(
         graph.seed(turn * settings.orders)
         graph.settle()
         linked = graph.linked()
-        if audit(nodes, linked, width, settings) >= settings.recall:
+        if not (failing := audit(nodes, linked, width, settings)):
             break
+    else:
+        graph.across(nodes.filter(F.col("label").isin(failing)).select("node", "label", "vector"))
+        linked = graph.linked()
     placed = nodes.select("digest", "node", "n", "least").join(linked, "node", "left")
     placed = scratch.write(
         placed.select(

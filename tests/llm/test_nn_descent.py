@@ -82,6 +82,19 @@ def test_saturated_groups_joined_by_weaker_links(spark):
     assert found == [(i, d, 0) for i, d in enumerate(degree)]
 
 
+def test_labels_that_fail_the_audit_are_compared_whole(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "TILE", 16)
+    monkeypatch.setattr(nn_descent, "PLANES", 1)
+    monkeypatch.setattr(nn_descent.Graph, "refine", lambda self: None)
+    random = np.random.default_rng(5)
+    bases = random.normal(size=(30, 16))
+    rows = [(i, (bases[i % 30] + random.normal(size=16) * 0.01).tolist(), 1) for i in range(90)]
+    degree, roots = brute_force(rows)
+    settings = nn_descent.Settings(neighbours=2, orders=1, window=1, most_audits=1)
+    found = rows_of(nn_descent.near_vectors(table(spark, rows), settings), "vec_id", "n_links", "component_id")
+    assert found == [(i, d, r) for i, (d, r) in enumerate(zip(degree, roots))]
+
+
 def test_awkward_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
