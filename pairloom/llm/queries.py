@@ -17,6 +17,7 @@ from pairloom.llm import (
     repeated_units,
     simhash_anchors,
     url_reputation,
+    walsh_codes,
     warc_archive,
 )
 from pairloom.llm.common import Scratch, table
@@ -120,6 +121,12 @@ def op10_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op13_walsh_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector's code, its error, and its label's."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return walsh_codes.compressed(vectors).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_temperature_mixing": op1_temperature_mixing,
     "op2_url_reputation": op2_url_reputation,
@@ -131,8 +138,63 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_nn_descent": op9_nn_descent,
     "op10_cuckoo_dedup": op10_cuckoo_dedup,
+    "op13_walsh_codes": op13_walsh_codes,
 }
 
+
+def _codes_sql(width: int = 64, parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Product quantisation by whole comparison, each round a table of its own."""
+    each = range(width // parts)
+    columns = ", ".join(f"v{i}" for i in each)
+    distance = " + ".join(f"(x.v{i} - e.v{i}) * (x.v{i} - e.v{i})" for i in each)
+    cut = ", ".join(f"v[p * {width // parts} + {i + 1}] AS v{i}" for i in each)
+    # Division of whole numbers drops the remainder's sign, so the remainder goes first.
+    mean = ", ".join(
+        f"((sum(x.v{i}) - ((sum(x.v{i}) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS v{i}"
+        for i in each
+    )
+    steps = [
+        """kept AS MATERIALIZED (
+            SELECT vec_id, label, [floor(1024 * x::DOUBLE)::BIGINT for x in embedding] AS v
+            FROM embeddings WHERE embedding IS NOT NULL
+            AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0)""",
+        f"""pieces AS MATERIALIZED (
+            SELECT vec_id, label, p, {cut} FROM kept, range({parts}) AS r(p))""",
+        f"""e0 AS MATERIALIZED (
+            SELECT * EXCLUDE (vec_id, label) FROM (
+                SELECT *, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS k FROM pieces)
+            WHERE k < {entries})""",
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"""a{r} AS MATERIALIZED (
+                SELECT vec_id, label, p, min(({distance}) * 256 + e.k) AS best
+                FROM pieces x JOIN e{r} e USING (p) GROUP BY ALL)"""
+        )
+        if r < rounds:
+            steps.append(
+                f"""e{r + 1} AS MATERIALIZED (
+                    SELECT p, k, {columns} FROM (
+                        SELECT p, best % 256 AS k, {mean} FROM pieces x JOIN a{r} USING (vec_id, p)
+                        GROUP BY ALL)
+                    UNION ALL
+                    SELECT p, k, {columns} FROM e{r} old WHERE NOT EXISTS (
+                        SELECT 1 FROM a{r} a WHERE a.p = old.p AND a.best % 256 = old.k))"""
+            )
+    steps.append(
+        f"""coded AS (
+            SELECT vec_id, label, sum(best // 256)::BIGINT AS error,
+                   string_agg(printf('%02x', (best % 256)::INT), '' ORDER BY p) AS code
+            FROM a{rounds} GROUP BY vec_id, label)"""
+    )
+    return f"""
+        WITH {", ".join(steps)}
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+               (SELECT sha256(string_agg(concat_ws(',', {columns}), ',' ORDER BY p, k))
+                FROM e{rounds}) AS codebooks_sha256
+        FROM coded
+    """
+
 ORACLES: dict[str, str] = {
     # Within a limit r and with every document drawn, the exponent has a closed form:
     # (largest share / smallest share) ** (1 - exponent) = r.
@@ -187,4 +249,5 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
     """,
+    "op13_walsh_codes": _codes_sql(),
 }

@@ -11,7 +11,7 @@ from tests.oracle import connect, duck_rows, duck_types, spark_rows, spark_types
 
 def test_each_operator_has_a_query():
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries()
 
 
