@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,35 @@ def text_batches(spark: SparkSession) -> None:
         spark.conf.set(key, TEXT_ROWS)
 
 
+BATCH_BYTES = 8 * 2**20
+"""Bytes of text that one step of an operator holds decoded."""
+
+
+def by_bytes(batches: Iterator, column: str, limit: int = BATCH_BYTES) -> Iterator:
+    """Regroup Arrow batches into tables of up to `limit` bytes of text, or of one row.
+
+    It runs in the worker; the numbers `(partition << 32) + k` are unique within a job.
+    """
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    from pyspark import TaskContext
+
+    first = TaskContext.get().partitionId() << 32
+    held, size, k = [], 0, 0
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        start = 0
+        for at, length in enumerate(lengths):
+            if size and size + length > limit:
+                held.append(batch.slice(start, at - start))
+                yield first + k, pa.Table.from_batches(held)
+                held, size, k, start = [], 0, k + 1, at
+            size += length
+        held.append(batch.slice(start))
+    if sum(part.num_rows for part in held):
+        yield first + k, pa.Table.from_batches(held)
+
+
 class Scratch:
     """Tables of one operator call, in the shared folder the cluster names in
     `spark.checkpoint.dir`; only a local master may do without that setting.

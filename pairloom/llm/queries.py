@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pairloom.llm import (
     quality_pu,
     repeated_units,
     simhash_anchors,
+    token_alignment,
     url_reputation,
     walsh_codes,
     warc_archive,
@@ -121,6 +123,22 @@ def op10_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op12_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens, groups and links under a byte-level and a piece model."""
+    import public_tokenizers
+
+    path = public_tokenizers.path
+    bpe = partial(
+        token_alignment.ByteBpe,
+        path("byte_bpe_50k.json"),
+        path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+    pieces = partial(token_alignment.Pieces, path("piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents")
+    return token_alignment.aligned(docs, bpe, pieces).withColumnRenamed("id", "doc_id")
+
+
 def op13_walsh_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every usable vector's code, its error, and its label's."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -138,6 +156,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_nn_descent": op9_nn_descent,
     "op10_cuckoo_dedup": op10_cuckoo_dedup,
+    "op12_lockstep_alignment": op12_lockstep_alignment,
     "op13_walsh_codes": op13_walsh_codes,
 }
 
