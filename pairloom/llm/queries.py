@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pairloom.llm import (
     best_fit_packing,
+    class_lm,
     cuckoo_dedup,
     fuzzy_lines,
     mixing,
@@ -123,6 +124,11 @@ def op10_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability by classes learned from nine tenths of them."""
+    return class_lm.scored(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op12_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens, groups and links under a byte-level and a piece model."""
     import public_tokenizers
@@ -156,6 +162,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_nn_descent": op9_nn_descent,
     "op10_cuckoo_dedup": op10_cuckoo_dedup,
+    "op11_brown_lm": op11_brown_lm,
     "op12_lockstep_alignment": op12_lockstep_alignment,
     "op13_walsh_codes": op13_walsh_codes,
 }
