@@ -107,6 +107,16 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def whole_row(rows: DataFrame) -> Column:
+    """All columns as one, under which no name can meet an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+
+
+def columns_of_row(rows: DataFrame, row: str = "row") -> list[Column]:
+    """The columns of `rows` again, out of `whole_row`."""
+    return [F.col(f"{row}.`{c}`") for c in rows.columns]
+
+
 def lookup(left: DataFrame, right: DataFrame, key: str, weight: str) -> DataFrame:
     """Inner join of many rows with a table that is unique on `key`, without skew.
 

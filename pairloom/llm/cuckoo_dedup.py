@@ -25,7 +25,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import Scratch, lookup, without_ids
+from pairloom.llm.common import Scratch, columns_of_row, lookup, whole_row, without_ids
 
 ARRIVALS = 32
 SLOTS = 4
@@ -263,11 +263,11 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return without_ids(docs, rows.filter("not kept").select(F.col(id_col).alias("id")), id_col)
     digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
     stays = rows.filter("kept").select(
-        F.col(id_col).alias("__id"), F.col("text_sha256").alias("__digest")
+        F.col(id_col).alias("kept_id"), F.col("text_sha256").alias("kept_digest")
     )
-    hashed = docs.withColumn("__digest", digest)
-    same = hashed["__digest"] == stays["__digest"]
-    same &= hashed[id_col].eqNullSafe(stays["__id"])
-    return (
-        hashed.join(stays, same, "left_semi").dropDuplicates(["__digest"]).select(*docs.columns)
+    hashed = docs.select(
+        whole_row(docs).alias("row"), F.col(id_col).alias("id"), digest.alias("digest")
     )
+    same = (F.col("digest") == F.col("kept_digest")) & F.col("id").eqNullSafe(F.col("kept_id"))
+    one = hashed.join(stays, same, "left_semi").dropDuplicates(["digest"])
+    return one.select(*columns_of_row(docs))

@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import Scratch, lookup
+from pairloom.llm.common import Scratch, columns_of_row, lookup, whole_row
 
 BINS = 256
 BYTES_PER_TOKEN = 4
@@ -218,25 +218,25 @@ def mixed(docs: DataFrame, mix: Mix) -> DataFrame:
         .agg(F.max(F.struct("pass", "order", "block")).alias("end"))
         .join(sources, "source_key")
         .select(
-            F.col("source_key").alias("__key"),
-            F.struct("end", "blocks").alias("__plan"),
-            F.col("docs").alias("__docs"),
+            "source_key", F.struct("end", "blocks").alias("plan"), F.col("docs").alias("n")
         )
     )
     ends = scratch.write(ends, "ends")
-    end, pass_ = F.col("__plan.end"), F.col("__plan.end.pass")
-    block = F.pmod(hashed(F.col(mix.id_col), F.lit(mix.seed)), F.col("__plan.blocks"))
+    end, pass_ = F.col("plan.end"), F.col("plan.end.pass")
+    block = F.pmod(hashed(F.col("id"), F.lit(mix.seed)), F.col("plan.blocks"))
     place = F.struct(
         pass_.alias("pass"),
-        hashed(F.col("__key"), pass_, block, F.lit(mix.seed)).alias("order"),
+        hashed(F.col("source_key"), pass_, block, F.lit(mix.seed)).alias("order"),
         block.alias("block"),
     )
     times = pass_ + F.when(place <= end, 1).otherwise(0)
-    keyed = docs.withColumn("__key", source_key(F.col(mix.source_col)))
-    return (
-        lookup(keyed, ends, "__key", "__docs")
-        .withColumn("__times", times)
-        .filter("__times > 0")
-        .withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("__times"))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    # The caller's columns travel as one, so none of theirs meets one of these.
+    keyed = docs.select(
+        whole_row(docs).alias("row"),
+        F.col(mix.id_col).alias("id"),
+        source_key(F.col(mix.source_col)).alias("source_key"),
     )
+    drawn = lookup(keyed, ends, "source_key", "n").withColumn("times", times)
+    turns = F.explode(F.sequence(F.lit(1), F.col("times"))).alias("turn")
+    drawn = drawn.filter("times > 0").select("row", turns)
+    return drawn.select(*columns_of_row(docs))

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import Scratch, lookup, text_batches
+from pairloom.llm.common import Scratch, columns_of_row, lookup, text_batches, whole_row
 
 UNITS = ("line", "paragraph", "sentence")
 NO_ID = (1 << 63) - 1
@@ -173,15 +173,19 @@ def without_units(
         cut = lambda t, s: t and "".join(t[x["start"] : x["end"]] for x in s)
         return pd.Series([cut(t, s) for t, s in zip(texts, stay)])
 
-    cuts = removed.groupBy(F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash")).agg(
-        F.collect_set(F.struct("start", "end")).alias("__cuts")
+    cuts = removed.groupBy(F.col(id_col).alias("cut_id"), "text_hash").agg(
+        F.collect_set(F.struct("start", "end")).alias("cuts")
     )
-    rows = docs.withColumn("__row_hash", hashed(text_col))
-    same = (rows["__row_hash"] == cuts["__hash"]) & rows[id_col].eqNullSafe(cuts["__id"])
-    none = F.array().cast(spans_)
-    return (
-        rows.join(cuts, same, "left")
-        .withColumn("kept_spans", kept(text_col, F.coalesce("__cuts", none)))
-        .withColumn(text_col, joined(text_col, "kept_spans"))
-        .select(*docs.columns, "kept_spans")
+    text = F.col(f"row.`{text_col}`")
+    rows = docs.select(
+        whole_row(docs).alias("row"), F.col(id_col).alias("id"), hashed(text_col).alias("hash")
     )
+    same = (F.col("hash") == F.col("text_hash")) & F.col("id").eqNullSafe(F.col("cut_id"))
+    none = F.array().cast(spans_)
+    found = rows.join(cuts, same, "left").withColumn("stays", kept(text, F.coalesce("cuts", none)))
+    found = found.withColumn("left", joined(text, "stays"))
+    columns = [
+        F.col("left").alias(text_col) if name == text_col else column
+        for name, column in zip(docs.columns, columns_of_row(docs))
+    ]
+    return found.select(*columns, F.col("stays").alias("kept_spans"))

@@ -1,10 +1,19 @@
 """Registered queries against their SQL, and the pipeline stage by stage."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
-from pairloom.llm import cuckoo_dedup, mixing, queries, quality_pu, simhash_anchors
+from pairloom.llm import (
+    cuckoo_dedup,
+    mixing,
+    near_jaccard,
+    quality_pu,
+    queries,
+    repeated_units,
+    simhash_anchors,
+)
 from tests.llm.helpers import awkward, rows_of
 from tests.oracle import connect, duck_rows, duck_types, spark_rows, spark_types
 
@@ -40,7 +49,8 @@ def test_every_stage_takes_effect(spark, sf_dir):
 
     docs, after = after, stages["SimHash near-dedup"](spark, after, sf_dir)
     classes = simhash_anchors.simhash_classes(docs).filter("doc_id = component_id")
-    assert rows_of(after, "doc_id") == rows_of(classes, "doc_id")
+    one_each = docs.join(classes.select("doc_id"), "doc_id", "left_semi")
+    assert rows_of(after, "doc_id") == rows_of(near_jaccard.without_similar(one_each), "doc_id")
 
     docs, after = after, stages["mixing"](spark, after, sf_dir)
     assert rows_of(after, "doc_id") == rows_of(mixing.draws(docs, queries.MIX), "doc_id")
@@ -63,6 +73,32 @@ def test_stages_bear_awkward_documents(spark, sf_dir, empty):
     assert (rows == 0) == empty
 
 
+def test_columns_of_the_caller_stay(spark):
+    """Columns with the operators' own names come back with the caller's values."""
+    names = (
+        "__key __turn __times __plan __docs __digest __id __row_hash __hash __cuts kept_spans row "
+        "id source_key plan n times turn digest kept_id hash cuts stays left u v node component"
+    ).split()
+    docs = awkward(spark).drop("__key", "id")
+    clash = [F.concat(F.lit(f"{n}:"), F.coalesce("text", F.lit("-"))).alias(n) for n in names]
+    docs = docs.select("*", *clash)
+    removed = repeated_units.repeated_units(docs, min_run_words=1)
+    results = {
+        "mixed": mixing.mixed(docs, queries.MIX),
+        "copies": cuckoo_dedup.without_copies(docs),
+        "near": simhash_anchors.without_near_copies(docs),
+        "similar": near_jaccard.without_similar(docs),
+        "quality": quality_pu.without_rejected(docs, None, queries.QUALITY_THRESHOLD),
+        "units": repeated_units.without_units(docs.drop("kept_spans"), removed).drop("text"),
+    }
+    for name, found in results.items():
+        kept = [c for c in found.columns if c in names and c != "kept_spans"]
+        assert len(kept) >= len(names) - 1, name
+        rows = found.select(F.array(*[F.expr(f"substring(`{c}`, {len(c) + 2})") for c in kept]).alias("x"),
+                            F.array(*[F.expr(f"startswith(`{c}`, '{c}:')") for c in kept]).alias("own")).collect()
+        assert rows and all(all(r.own) and len(set(r.x)) == 1 for r in rows), name
+
+
 def test_run(spark, sf_dir):
     found = corpus_pipeline.run(spark, sf_dir)
     assert found.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
