@@ -29,13 +29,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class."""
-    return simhash_anchors.without_near_copies(docs)
-
-
-def similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of Jaccard similarity 0.8 over five-word shingles."""
-    return near_jaccard.without_similar(docs)
+    """One document of each near-duplicate class: first by SimHash, and of what is left by
+    Jaccard similarity 0.8 of five-word shingles, which two differing bits cannot cover."""
+    return near_jaccard.without_similar(simhash_anchors.without_near_copies(docs))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +48,6 @@ STAGES = [
     ("quality classifier", quality),
     ("exact dedup", exact),
     ("SimHash near-dedup", near),
-    ("five-word near-dedup", similar),
     ("mixing", mix),
     ("best-fit packing", pack),
 ]
