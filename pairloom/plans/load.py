@@ -209,10 +209,16 @@ def _new_lines(good: DataFrame, store: PairStore, key_bytes: int, work: str) ->
     first = first_of_each(good.select("rec.task_id", "line", "file_ord"))
     if store.batches():
         first = written(first, f"{work}/first")
-        # At most MOST_BUCKETS numbers.
-        buckets = first.select(key_bucket("task_id").alias("b")).distinct().collect()
+        # At most MOST_BUCKETS numbers, and the range of all hashes.
+        hash_ = F.xxhash64("task_id")
+        seen = first.agg(
+            F.collect_set(key_bucket("task_id")).alias("buckets"),
+            F.min(hash_).alias("low"),
+            F.max(hash_).alias("high"),
+        ).first()
         small = key_bytes <= KEY_BYTES_TO_BROADCAST
-        first = not_stored(first, store.keys([r.b for r in buckets]), small=small)
+        stored = store.keys(seen.buckets, (seen.low, seen.high))
+        first = not_stored(first, stored, small=small)
     return first.select("line", "file_ord")
 
 

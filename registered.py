@@ -509,6 +509,7 @@ def _load_then_coverage(spark, sf_dir):
 # --- export ----------------------------------------------------------------------------
 
 SHARDS = 7
+SMALL_LOADS = 10
 
 
 def _shard_size(rows: DataFrame) -> int:
@@ -570,6 +571,34 @@ def _export_shards_sparse_ids(spark, sf_dir):
     return _shard_table(_read_shards(spark, folder))
 
 
+@query("export_shards_far_id", SHARDS_SQL)
+def _export_shards_far_id(spark, sf_dir):
+    """The same shards when one id lies far off all others."""
+    pairs = workload.pairs(spark, sf_dir)
+    last = pairs.agg(F.max("id")).first()[0]
+    far = F.when(F.col("id") == last, F.lit(2**60)).otherwise(F.col("id"))
+    folder = _export(spark, pairs.withColumn("id", far), _shard_size(pairs), "snappy")
+    return _shard_table(_read_shards(spark, folder))
+
+
+@query("export_small_loads_compacted", SHARDS_SQL)
+def _export_small_loads_compacted(spark, sf_dir):
+    """Many small loads, one of them given again, joined to few batches and exported."""
+    store, lines = _new_store(spark), workload.valid_lines(spark, sf_dir)
+    ranged = lines.repartitionByRange(SMALL_LOADS, "id").sortWithinPartitions("id")
+    folder = workload.scratch_folder(spark, "small")
+    ranged.select("value").write.text(folder)
+    parts = glob(spark, f"{folder}/part-*")
+    for part in [*parts, parts[0]]:
+        load_files(spark, [part.path], store)
+    rows = store.read().count()
+    store.compact(most_rows=rows // 3)
+    store.drop_compacted()
+    folder = workload.scratch_folder(spark, "export")
+    export_store(store, folder, -(-rows // SHARDS), "zstd")
+    return _shard_table(_read_shards(spark, folder))
+
+
 @query("load_then_export", LOADED_SQL)
 def _load_then_export(spark, sf_dir):
     store = _new_store(spark)

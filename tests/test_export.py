@@ -57,7 +57,7 @@ def test_exact_contiguous_shards(spark, tmp_path, rows, size, count, step):
     assert result.summary() == f"exported {rows} rows to {count} shard(s) in {tmp_path / 'o'}"
 
 
-STEPS = ["id", "id * 3", "id * id * id", "if(id < 500, id, id + 9000000000)", "id - 700"]
+STEPS = ["id", "id * 3", "id * id * id", "if(id < 500, id, id + 9000000000)", "id - 700", "if(id = 7, 1125899906842624, id)"]
 
 
 @pytest.mark.parametrize("step", STEPS)
@@ -177,3 +177,19 @@ def test_rows_are_shuffled_once_and_pruned_by_id(spark, tmp_path):
         assert text.count("Exchange") - text.count("BroadcastExchange") == 1
         assert "PushedFilters: [IsNotNull(id), GreaterThanOrEqual(id" in text
         assert plan.rdd.getNumPartitions() == 4
+
+
+def test_one_far_id_leaves_even_ranges(spark, tmp_path, monkeypatch):
+    """From counts alone, no range keeps more than a few shards' rows."""
+    monkeypatch.setattr(shards_module, "MAX_RANGES", 50)
+    far = "if(id = 9, 1125899906842624, if(id % 2 = 0, id, id + 5000000000000))"
+    df = pairs(spark, 3000, far)
+    found = shard_map(df, 20, str(tmp_path / "w"))
+    assert found.shards == 150 and len(found.cuts) > 2
+    ranged = shards_module.with_range(df, found, "id", "start")
+    rows = ranged.groupBy("start").count().collect()
+    assert max(r["count"] for r in rows) <= 4 * 20 and len(rows) <= 3000
+    assigned = found.assign(df, 0, found.shards - 1).select("id", "shard").collect()
+    order = {i: k // 20 for k, i in enumerate(sorted(r.id for r in assigned))}
+    assert len(order) == 3000 and all(order[r.id] == r.shard for r in assigned)
+    assert all(cut.count() <= 3000 // (4 * 20) for _, cut in found.cuts)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pairloom.operators import new_keys, numbering
 from pairloom.plans.load import RecordsFailed, load_files, rejected_records
 from pairloom.sources.folders import WriterBusy
+from pairloom.schema import STORE_SCHEMA
 from pairloom.sources.pair_store import PairStore, table_exists
 from tests.records import line, record, without, write_file
 
@@ -380,15 +381,103 @@ def test_a_new_key_reads_its_bucket_only(spark, tmp_path, store, monkeypatch):
     assert counts(load_files(spark, [path], store)) == (0, 3, 0)
 
 
-def test_keys_of_a_lost_load_do_not_count(spark, tmp_path, store, monkeypatch):
+def test_a_batch_without_key_segment_is_looked_up_itself(spark, tmp_path, store, monkeypatch):
     from pairloom.sources import pair_store
 
+    def crash(*_):
+        raise OSError("lost")
+
+    path = write_file(tmp_path / "1.jsonl", [record(f"k{k}") for k in range(20)])
+    with monkeypatch.context() as broken:
+        broken.setattr(PairStore, "merge_keys", crash)
+        with pytest.raises(OSError):
+            load_files(spark, [path], store)
+    assert counts(load_files(spark, [path], store)) == (0, 20, 0)
+    # A segment of a batch that is not committed counts for nothing.
     monkeypatch.setattr(pair_store, "KEYS_PER_BUCKET", 2)
-    first = write_file(tmp_path / "1.jsonl", [record("kept")])
-    load_files(spark, [first], store)
-    rows = [record(f"k{k}") for k in range(20)]
-    path = write_file(tmp_path / "2.jsonl", rows)
-    load_files(spark, [path], store, load_id="lost")
-    (batch,) = [b for b in store.batches() if b.load_id == "lost"]
-    Path(batch.path.removeprefix("file:"), "_SUCCESS").unlink()
-    assert load_files(spark, [path], store).inserted == 20
+    more = write_file(tmp_path / "2.jsonl", [record(f"m{k}") for k in range(20)])
+    load_files(spark, [more], store)
+    assert store.key_segments()[-1].buckets == 8
+    Path(store.batches()[-1].path.removeprefix("file:"), "_SUCCESS").unlink()
+    assert [s.buckets for s in store.key_segments()] == [0]
+    assert counts(load_files(spark, [more], store)) == (20, 0, 0)
+
+
+def small_loads(spark, store, n, size=3):
+    """`n` batches of `size` rows each, appended without scanning files."""
+    for k in range(n):
+        first_id = k * (size + 2) + 1
+        rows = [(first_id + j, f"{k}-{j}") for j in range(size)]
+        rows = spark.createDataFrame(rows, "id long, task_id string").coalesce(1)
+        for column in STORE_SCHEMA:
+            if column.name not in rows.columns:
+                rows = rows.withColumn(column.name, F.lit(None).cast(column.dataType))
+        store.append(rows, first_id, f"load-{k}", size)
+
+
+def test_segments_stay_few_and_a_key_reads_one_bucket(spark, store, monkeypatch):
+    from pairloom.sources import pair_store
+
+    monkeypatch.setattr(pair_store, "KEYS_PER_BUCKET", 10)
+    monkeypatch.setattr(pair_store, "SMALLEST_SIZE", 20)
+    monkeypatch.setattr(pair_store, "MERGE_AT", 4)
+    store.create()
+    small_loads(spark, store, 26)
+    segments = store.key_segments()
+    assert len(segments) <= 3 * 4 and sum(s.keys for s in segments) + 3 * sum(not s.buckets for s in segments) == 78
+    assert len(store.batches()) == 26
+    runs = [(s.first, s.last) for s in segments]
+    assert all(a[1] < b[0] for a, b in zip(runs, runs[1:]))
+    key = spark.createDataFrame([("3-1",)], "task_id string")
+    bucket, hash_ = key.select(pair_store.key_bucket("task_id"), F.xxhash64("task_id")).first()
+    found = store.keys([bucket], (hash_, hash_))
+    assert "3-1" in {r.task_id for r in found.collect()} and found.count() < 12
+    files = {r[0] for r in found.select(F.input_file_name()).collect() if "/_keys/" in r[0]}
+    assert len(files) == 1 and "PushedFilters: [IsNotNull(hash)" in str(found._jdf.queryExecution().executedPlan())
+    every = store.keys(list(range(pair_store.MOST_BUCKETS)))
+    assert every.count() == every.distinct().count() == 78
+
+
+def test_compaction_keeps_rows_ids_loads_and_exports(spark, tmp_path, store, monkeypatch):
+    from pairloom.plans.export import export_shards
+    from pairloom.sources import pair_store
+
+    monkeypatch.setattr(pair_store, "MERGE_AT", 3)
+    store.create()
+    small_loads(spark, store, 11)
+
+    def exported(name):
+        rows = store.read().select("*").na.fill("", [f.name for f in STORE_SCHEMA if f.name != "id"])
+        for f in STORE_SCHEMA:
+            if f.dataType.typeName() == "array":
+                rows = rows.withColumn(f.name, F.coalesce(f.name, F.array().cast(f.dataType)))
+        export_shards(rows, str(tmp_path / name), 4)
+        shards = spark.read.parquet(str(tmp_path / name / "train-*"))
+        return sorted(tuple(r) for r in shards.select("_metadata.file_name", "task_id").collect())
+
+    before, rows, last = exported("before"), sorted(map(repr, store.read().collect())), store.last_id()
+    assert store.compact(most_rows=13) == 11
+    assert [b.merged for b in store.batches()] == [True, True, True]
+    assert exported("after") == before and sorted(map(repr, store.read().collect())) == rows
+    assert store.last_id() == last and all(store.has_load(f"load-{k}") for k in range(11))
+    assert store.drop_compacted() == 11
+    assert store.compact(most_rows=30) == 2 and len(store.batches()) == 2
+    assert store.drop_compacted() == 2 and store.compact(most_rows=5) == 0
+    assert sorted(map(repr, store.read().collect())) == rows
+    assert all(store.has_load(f"load-{k}") for k in range(11)) and not store.has_load("load-11")
+    assert not any(store.path in s.path and not s.buckets for s in store.key_segments())
+    path = write_file(tmp_path / "again.jsonl", [record("3-1"), record("10-2"), record("new")])
+    assert counts(load_files(spark, [path], store)) == (1, 2, 0)
+
+
+def test_a_compaction_that_crashes_changes_nothing(spark, store, monkeypatch):
+    from pairloom.sources import pair_store
+
+    store.create()
+    small_loads(spark, store, 3)
+    with monkeypatch.context() as broken:
+        broken.setattr(pair_store, "WITH_MARKER", {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"})
+        with pytest.raises(OSError):
+            store.compact()
+    assert len(store.batches()) == 3 and store.read().count() == 9
+    assert store.compact() == 3 and len(store.batches()) == 1 and store.read().count() == 9
