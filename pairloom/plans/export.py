@@ -85,7 +85,7 @@ def export_shards(
     token = uuid.uuid4().hex
     staging = f"{output_dir}/_staging-{token}"
     with (
-        single_writer(spark, output_dir, f"export {token}"),
+        single_writer(spark, output_dir, f"export {token}") as lease,
         engine_settings(spark),
         work_folder(spark, output_dir) as work,
     ):
@@ -95,6 +95,7 @@ def export_shards(
                 last = min(first + SHARDS_PER_JOB, shards.shards) - 1
                 write_shards(pairs, shards, first, last, staging, compression)
             written = _check_shards(spark, staging, shards)
+            lease.check()
             _publish(spark, output_dir, written, shards.shards)
         finally:
             delete_folder(spark, staging)

@@ -55,6 +55,9 @@ class FileReport:
 class LoadResult:
     load_id: str
     files: list[FileReport] = field(default_factory=list)
+    ignored: list[str] = field(default_factory=list)
+    """Files in the folders given that are no record files by their names, see
+    `sources.jsonl`."""
     replayed: bool = False
     """The load had been committed before and changed nothing now."""
 
@@ -110,9 +113,11 @@ def load_files(
     load_id = load_id or uuid.uuid4().hex
     store.create()
     with work_folder(spark, store.path) as staging:
-        files = find_files(spark, paths, staging)
+        ignored: list[str] = []
+        files = find_files(spark, paths, staging, ignored)
         lines = scan_lines(spark, files)
         result = load_lines(spark, lines, files, store, load_id, taxonomy, owner)
+        result.ignored = ignored
     if raise_on_failed and result.failed:
         raise RecordsFailed(result)
     return result
@@ -145,7 +150,7 @@ def load_lines(
     """
     owner = owner or f"load {load_id}"
     with (
-        single_writer(spark, store.path, owner),
+        single_writer(spark, store.path, owner) as lease,
         engine_settings(spark),
         work_folder(spark, store.path) as work,
     ):
@@ -181,7 +186,9 @@ def load_lines(
                 first_id = store.last_id() + 1
                 span = sum(per_file[uri].lines for uri in order if uri in per_file)
                 kept = keep_lines(good, new, sum(inserted), ok, span)
-                store.append(_stored_rows(kept, first_id), first_id, load_id, sum(inserted))
+                store.append(
+                    _stored_rows(kept, first_id), first_id, load_id, sum(inserted), lease
+                )
 
     return LoadResult(
         load_id,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import threading
 import time
 import uuid
 from collections.abc import Iterator
@@ -104,6 +105,7 @@ def glob(spark: SparkSession, pattern: str) -> list[Entry]:
 
 
 MARKER = "_SUCCESS"
+WITHOUT_MARKER = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
 WITH_MARKER = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"}
 """Write options that put the marker there whatever the cluster's default is."""
 
@@ -146,19 +148,61 @@ def write_text(
         stream.close()
 
 
-WRITER_GONE_AFTER = 3600
-"""Seconds after which a stream's own left-over marker is taken for that of a dead run."""
+WRITER_GONE_AFTER = 600
+"""Seconds without a sign of life after which a writer counts as dead."""
+
+
+class Lease:
+    """The right to write to a folder, for as long as its marker is one's own.
+
+    The marker is written again every `WRITER_GONE_AFTER` / 10 seconds, which is the sign of
+    life, by a thread of the driver; it stops with the driver, however long a job runs.
+    """
+
+    def __init__(self, spark: SparkSession, marker: str, text: str) -> None:
+        self.spark, self.marker, self.text = spark, marker, text
+        self._over, self._writing = threading.Event(), threading.RLock()
+        self._thread = threading.Thread(target=self._renew, daemon=True)
+        self._thread.start()
+
+    def held(self) -> bool:
+        with self._writing:
+            there = path_exists(self.spark, self.marker)
+            return there and read_text(self.spark, self.marker) == self.text
+
+    def check(self) -> None:
+        """Fail if another writer has taken over; to be asked right before a commit."""
+        if not self.held():
+            raise WriterBusy(f"{self.marker} was taken over; nothing more is written")
+
+    def _renew(self) -> None:
+        while not self._over.wait(max(WRITER_GONE_AFTER, 1) / 10):
+            try:
+                with self._writing:
+                    if not self.held():
+                        return
+                    write_text(self.spark, self.marker, self.text)
+            except Exception:  # noqa: BLE001
+                # A sign of life that fails is made up for by the next; `check` decides.
+                continue
+
+    def release(self) -> None:
+        self._over.set()
+        self._thread.join()
+        if self.held():
+            delete_file(self.spark, self.marker)
 
 
 @contextmanager
-def single_writer(spark: SparkSession, folder: str, owner: str) -> Iterator[None]:
+def single_writer(spark: SparkSession, folder: str, owner: str) -> Iterator[Lease]:
     """Hold `folder` for one writer; a second one fails at once.
 
     The marker is created with "fail if it exists" and holds the owner and a token of the
-    Spark application. A stream that was restarted takes its own marker again if it was
-    left by another application more than `WRITER_GONE_AFTER` seconds ago; any other
-    left-over marker is named in the error and has to be deleted by hand. Only one's own
-    marker is deleted at the end.
+    Spark application. A stream that was restarted takes its own marker again if that has
+    shown no sign of life for `WRITER_GONE_AFTER` seconds; any other left-over marker is
+    named in the error and has to be deleted by hand. Only one's own marker is deleted
+    at the end. Who commits asks the lease first, so a writer that was cut off, and taken
+    for dead, does not commit when it comes back.
     """
     marker = f"{folder}/_writer"
     mine = f"{owner} [{spark.sparkContext.applicationId} {uuid.uuid4().hex}]"
@@ -175,8 +219,8 @@ def single_writer(spark: SparkSession, folder: str, owner: str) -> Iterator[None
                 f"{folder} is being written by {holder!r}; if that job is gone, delete {marker}"
             ) from error
         write_text(spark, marker, mine)
+    lease = Lease(spark, marker, mine)
     try:
-        yield
+        yield lease
     finally:
-        if read_text(spark, marker) == mine:
-            delete_file(spark, marker)
+        lease.release()

@@ -32,9 +32,18 @@ class InputFile:
     is_folder: bool = False
 
 
-def find_files(spark: SparkSession, paths: Iterable[str], staging: str) -> list[InputFile]:
+def no_records(names: set[str], name: str) -> bool:
+    """Whether a file in a folder of `names` is none of records: what writers leave there,
+    or the checksum `.name.crc` of another file."""
+    checked = name.removeprefix(".").removesuffix(".crc")
+    return name in NOT_RECORDS or (name == f".{checked}.crc" and checked in names)
+
+
+def find_files(
+    spark: SparkSession, paths: Iterable[str], staging: str, ignored: list[str] | None = None
+) -> list[InputFile]:
     """Resolve arguments in order. A folder stands for the files in it, by name; a file
-    given twice is listed twice.
+    given twice is listed twice. What `no_records` passes over is added to `ignored`.
 
     Spark's readers pass over names that begin with `_` or `.`. Such a file is copied to
     `staging` under a plain name and read there.
@@ -47,13 +56,16 @@ def find_files(spark: SparkSession, paths: Iterable[str], staging: str) -> list[
         elif entry.is_file:
             found.append(InputFile(path, _readable(spark, path, entry.name, staging)))
         else:
-            found += [
-                InputFile(e.path, _readable(spark, e.path, e.name, staging))
-                if e.is_file
-                else InputFile(e.path, None, is_folder=True)
-                for e in list_folder(spark, path)
-                if e.name not in NOT_RECORDS and not e.name.endswith(".crc")
-            ]
+            entries = list_folder(spark, path)
+            names = {e.name for e in entries}
+            for e in entries:
+                if no_records(names, e.name):
+                    if ignored is not None:
+                        ignored.append(e.path)
+                elif e.is_file:
+                    found.append(InputFile(e.path, _readable(spark, e.path, e.name, staging)))
+                else:
+                    found.append(InputFile(e.path, None, is_folder=True))
     return found
 
 

@@ -34,6 +34,8 @@ from pairloom.session import engine_settings
 from pairloom.sources.folders import (
     MARKER,
     WITH_MARKER,
+    WITHOUT_MARKER,
+    Lease,
     check_marked,
     delete_folder,
     glob,
@@ -302,14 +304,24 @@ class PairStore:
             delete_folder(self.spark, path)
         return len(old)
 
-    def append(self, rows: DataFrame, first_id: int, load_id: str, n_rows: int) -> None:
+    def append(
+        self,
+        rows: DataFrame,
+        first_id: int,
+        load_id: str,
+        n_rows: int,
+        lease: Lease | None = None,
+    ) -> None:
         """Write one batch of `n_rows` whose ids are all >= `first_id`, above every id given
-        out."""
+        out. With a `lease`, the batch is committed only while that is held."""
         check_load_id(load_id)
         folder = f"{self.path}/first_id={first_id:020d}/load_id={load_id}"
         rows.select(*STORE_SCHEMA.names).write.mode("overwrite").option(
             "compression", "zstd"
-        ).options(**WITH_MARKER).parquet(folder)
+        ).options(**(WITHOUT_MARKER if lease else WITH_MARKER)).parquet(folder)
+        if lease:
+            lease.check()
+            write_text(self.spark, f"{folder}/{MARKER}", "")
         check_marked(self.spark, folder)
         self.merge_keys(n_rows)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Callable
@@ -13,12 +14,13 @@ from pairloom.plans.load import LoadResult, load_files, load_lines
 from pairloom.sources.folders import (
     changes_in,
     glob,
+    list_folder,
     make_folder,
     path_exists,
     read_text,
     write_text,
 )
-from pairloom.sources.jsonl import line_columns, number_in_task
+from pairloom.sources.jsonl import line_columns, no_records, number_in_task
 from pairloom.sources.pair_store import PairStore
 from pairloom.taxonomy import TAXONOMY, Taxonomy
 
@@ -47,7 +49,8 @@ def start_load_stream(
 
     With `processing_time` (`"1 hour"`) the query keeps running instead. The store is the
     state: a record delivered again is skipped however old it is, and nothing grows in
-    the stream. Spark takes files by age; so are those of one micro-batch read, and then by
+    the stream. Files that Spark passes over for their names are loaded after the others, see
+    `_load_hidden`. Spark takes files by age; so are those of one micro-batch read, and then by
     name. A path is taken once: for files that are rewritten see `load_arrivals`. Each micro-batch is one load named after the checkpoint and the batch
     number, so a batch replayed after a crash is not stored twice. Spark allows one
     running query per checkpoint.
@@ -67,6 +70,7 @@ def start_load_stream(
         )
         if on_result:
             on_result(result)
+        _load_hidden(batch.sparkSession, folder, store, checkpoint, taxonomy, on_result)
 
     writer = (
         stream_lines(spark, folder, max_files_per_trigger)
@@ -78,6 +82,43 @@ def start_load_stream(
     return writer.trigger(availableNow=True).start()
 
 
+def _load_hidden(
+    spark: SparkSession,
+    folder: str,
+    store: PairStore,
+    checkpoint: str,
+    taxonomy: Taxonomy = TAXONOMY,
+    on_result: Callable[[LoadResult], None] | None = None,
+) -> None:
+    """Load the files that Spark's stream passes over for their names, each path once.
+
+    Names that begin with `_` or `.` are taken if they end in `.jsonl`; other names of that
+    kind, as writers give to what is not finished, are reported as `ignored`, each once.
+    Each is a load of its own with a mark in the checkpoint, written after it.
+    """
+    stream_id, passed_over = _stream_id(spark, checkpoint), []
+    names = {e.name for e in list_folder(spark, folder)}
+    for entry in list_folder(spark, folder):
+        if not entry.is_file or not entry.name.startswith(("_", ".")):
+            continue
+        path_id = hashlib.sha256(entry.path.encode()).hexdigest()
+        mark = f"{checkpoint}/hidden/{path_id}"
+        if no_records(names, entry.name) or path_exists(spark, mark):
+            continue
+        if entry.name.endswith(".jsonl"):
+            load_id = f"{stream_id}-{path_id}"
+            owner = f"stream {stream_id}"
+            result = load_files(spark, [entry.path], store, load_id, taxonomy, owner=owner)
+            if on_result:
+                on_result(result)
+        else:
+            passed_over.append(entry.path)
+        make_folder(spark, f"{checkpoint}/hidden")
+        write_text(spark, mark, entry.path)
+    if passed_over and on_result:
+        on_result(LoadResult(f"{stream_id}-ignored", ignored=passed_over))
+
+
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:
     """A name kept with the checkpoint: the same after a restart, new for a new one."""
     path = f"{checkpoint}/load_stream_id"
@@ -147,4 +188,6 @@ def load_stream(
         spark, folder, store, checkpoint, on_result=results.append, **options
     )
     query.awaitTermination()
+    taxonomy = options.get("taxonomy", TAXONOMY)
+    _load_hidden(spark, folder, store, checkpoint, taxonomy, results.append)
     return results

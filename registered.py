@@ -454,6 +454,18 @@ def _load_odd_names(spark, sf_dir):
     return _flat(store.read(), RECORD_FIELDS)
 
 
+@query("stream_odd_names", LOADED_SQL)
+def _stream_odd_names(spark, sf_dir):
+    """A stream over files half of which have names that Spark's streams pass over."""
+    lines, folder = workload.mixed_lines(spark, sf_dir), workload.scratch_folder(spark, "odd")
+    plain = "id = 1 OR id % 2 = 0"
+    _publish(spark, lines.where(plain), folder, "part ")
+    _publish(spark, lines.where(f"NOT ({plain})"), folder, "_part ")
+    store, checkpoint = _new_store(spark), workload.scratch_folder(spark, "checkpoint")
+    load_stream(spark, folder, store, checkpoint)
+    return _flat(store.read(), RECORD_FIELDS)
+
+
 @query(
     "load_ids",
     f"""{WITH_PAIRS} SELECT task_id,

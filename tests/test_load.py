@@ -357,6 +357,57 @@ def test_a_stream_takes_only_its_own_old_marker(spark, tmp_path, monkeypatch):
     assert not (folder / "_writer").exists()
 
 
+def test_a_writer_that_lives_is_not_overtaken(spark, tmp_path, monkeypatch):
+    import time
+
+    from pairloom.sources import folders
+
+    monkeypatch.setattr(folders, "WRITER_GONE_AFTER", 3)
+    folder = tmp_path / "store"
+    folder.mkdir()
+    with folders.single_writer(spark, str(folder), "stream s") as long:
+        time.sleep(5)
+        with pytest.raises(WriterBusy), folders.single_writer(spark, str(folder), "stream s"):
+            pass
+        long.check()
+    assert not (folder / "_writer").exists()
+
+
+def test_a_writer_taken_for_dead_does_not_commit(spark, tmp_path, store, monkeypatch):
+    import time
+
+    from pairloom.sources import folders
+
+    monkeypatch.setattr(folders, "WRITER_GONE_AFTER", 2)
+    store.create()
+    rows = spark.createDataFrame([(1, "t")], "id long, task_id string")
+    for column in STORE_SCHEMA:
+        if column.name not in rows.columns:
+            rows = rows.withColumn(column.name, F.lit(None).cast(column.dataType))
+    with folders.single_writer(spark, store.path, "stream s") as cut_off:
+        cut_off._over.set()
+        time.sleep(3)
+        with folders.single_writer(spark, store.path, "stream s") as newer:
+            with pytest.raises(WriterBusy, match="taken over"):
+                store.append(rows, 1, "old", 1, cut_off)
+            assert store.batches() == [] and not store.has_load("old")
+            store.append(rows, 1, "new", 1, newer)
+            assert store.read().count() == 1
+    assert not Path(store.path, "_writer").exists()
+
+
+def test_files_passed_over_in_a_folder_are_named(spark, tmp_path, store):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    write_file(folder / "a.jsonl", [record("a")])
+    write_file(folder / "b.crc", [record("b")])
+    write_file(folder / "_c", [record("c")])
+    (folder / "_SUCCESS").write_text("")
+    result = load_files(spark, [str(folder)], store)
+    assert counts(result) == (3, 0, 0) and [f.status for f in result.files] == ["loaded"] * 3
+    assert [Path(p).name for p in result.ignored] == ["_SUCCESS"]
+
+
 def test_a_new_key_reads_its_bucket_only(spark, tmp_path, store, monkeypatch):
     from pairloom.sources import pair_store
 

@@ -176,3 +176,20 @@ def test_an_arrival_is_not_lost_by_a_crash(spark, folders, monkeypatch):
     results = ingest.load_arrivals(spark, str(source), store, log)
     assert [r.replayed for r in results] == [True, False]
     assert sorted(r[0] for r in rows(store)) == ["a", "b"]
+
+
+def test_hidden_names_are_loaded_once_or_named(spark, folders):
+    source, checkpoint, path = folders
+    store = PairStore(spark, path)
+    run = lambda: ingest.load_stream(spark, str(source), store, checkpoint)
+    write_file(source / "1.jsonl", [record("a")])
+    write_file(source / "_2.jsonl", [record("a"), record("b"), "bad"])
+    write_file(source / ".3.jsonl", [record("c")])
+    write_file(source / "_4.part", [record("not finished")])
+    results = run()
+    assert sorted(totals(results)) == [(0, 0, 0), (1, 0, 0), (1, 0, 0), (1, 1, 1)]
+    assert [os.path.basename(p) for r in results for p in r.ignored] == ["_4.part"]
+    assert run() == []
+    write_file(source / "_5.jsonl", [record("d")])
+    assert totals(run()) == [(1, 0, 0)]
+    assert sorted(r.task_id for r in store.read().collect()) == ["a", "b", "c", "d"]
