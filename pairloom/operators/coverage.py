@@ -64,12 +64,13 @@ def _pair_key(a: str, b: str) -> Column:
     return F.concat(F.col(a), F.lit(":"), F.col(b))
 
 
-def coverage_long(df: DataFrame) -> DataFrame:
-    """All counts as `(axis, key, n)`, from one scan of four columns.
+def coverage_parts(df: DataFrame) -> DataFrame:
+    """All counts as `(axis, a, b, n)`, from one scan of four columns.
 
     Every row is expanded into its axis values first, and these are counted map-side in
     the only aggregate. That leaves about as many rows per task as there are values,
-    whatever the order and repetition of the tags in a list.
+    whatever the order and repetition of the tags in a list. The parts of two tables add up
+    to those of both, see `added_parts`.
     """
     entries = [_entry(axis, F.col(axis)) for axis in AXIS_COLUMNS] + [
         _entry("total", F.lit("")),
@@ -80,9 +81,23 @@ def coverage_long(df: DataFrame) -> DataFrame:
         F.coalesce(TAG_COLUMN, no_tags), lambda tag: _entry(TAG_AXIS, tag)
     )
     exploded = df.select(F.explode(F.concat(F.array(*entries), tags)).alias("e"))
-    counted = exploded.groupBy("e.axis", "e.a", "e.b").agg(F.count("*").alias("n"))
+    return exploded.groupBy("e.axis", "e.a", "e.b").agg(F.count("*").alias("n"))
+
+
+def added_parts(parts: DataFrame) -> DataFrame:
+    """The parts of several tables, one below the other, as those of all of them."""
+    return parts.groupBy("axis", "a", "b").agg(F.sum("n").alias("n"))
+
+
+def named_parts(parts: DataFrame) -> DataFrame:
+    """Parts as `(axis, key, n)`."""
     key = F.when(F.col("axis") == CROSS_NAME, _pair_key("a", "b")).otherwise(F.col("a"))
-    return counted.select("axis", key.alias("key"), "n")
+    return parts.select("axis", key.alias("key"), "n")
+
+
+def coverage_long(df: DataFrame) -> DataFrame:
+    """All counts as `(axis, key, n)`, see `coverage_parts`."""
+    return named_parts(coverage_parts(df))
 
 
 def _entry(axis: str, a: Column, b: Column | None = None) -> Column:
@@ -98,7 +113,12 @@ def coverage_document(df: DataFrame) -> DataFrame:
     value pairs that read the same as `a:b` cannot both be in the map; the larger count
     is kept (`coverage_long` keeps both).
     """
-    counts = coverage_long(df).groupBy("axis", "key").agg(F.max("n").alias("n"))
+    return document_of(coverage_long(df))
+
+
+def document_of(long: DataFrame) -> DataFrame:
+    """The coverage document of the counts `(axis, key, n)`."""
+    counts = long.groupBy("axis", "key").agg(F.max("n").alias("n"))
 
     def axis_map(axis: str) -> Column:
         wanted = (F.col("axis") == axis) & F.col("key").isNotNull()

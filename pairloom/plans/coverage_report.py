@@ -6,7 +6,8 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pairloom.operators.coverage import MAP_FIELDS, coverage_document
+from pairloom.operators.coverage import MAP_FIELDS, coverage_document, document_of
+from pairloom.plans.running_coverage import running_coverage
 from pairloom.schema import STORE_SCHEMA
 from pairloom.sources.folders import make_folder, write_text
 from pairloom.sources.pair_store import PairStore, table_exists
@@ -44,10 +45,20 @@ def document_text(document: DataFrame) -> str:
 
 
 def write_coverage(
-    spark: SparkSession, store: PairStore, output: str = DEFAULT_OUTPUT
+    spark: SparkSession,
+    store: PairStore,
+    output: str = DEFAULT_OUTPUT,
+    running: bool = False,
 ) -> str:
-    """Write the coverage document of a store to one file, replacing it; returns the text."""
-    text = document_text(store_coverage(store))
+    """Write the coverage document of a store to one file, replacing it; returns the text.
+
+    With `running`, batches counted by an earlier report are not read again, see
+    `plans.running_coverage`; that writes beside the store.
+    """
+    if running and store.exists():
+        text = document_text(document_of(running_coverage(store)))
+    else:
+        text = document_text(store_coverage(store))
     folder = output.rpartition("/")[0]
     if folder:
         make_folder(spark, folder)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Callable, Iterable
@@ -20,8 +21,11 @@ from pairloom.sources.folders import (
     glob,
     list_folder,
     make_folder,
+    path_exists,
+    read_text,
     rename_file,
     single_writer,
+    write_text,
 )
 from pairloom.sources.pair_store import PairStore
 
@@ -34,6 +38,8 @@ COMPRESSIONS = ("zstd", "snappy", "gzip", "none")
 # export runs one job after the other, each over its own range of ids.
 SHARDS_PER_JOB = 10_000
 RENAMES_AT_ONCE = 16
+# Names the staged shards, from when they are whole until they have been moved.
+PLAN = "_publish.json"
 
 
 @dataclass(frozen=True)
@@ -76,7 +82,8 @@ def export_shards(
 
     Every shard has `shard_size` rows, the last one what is left, in id order. Shards of
     an earlier export are replaced, other files stay. The new shards are written and
-    counted aside first: when the job fails, the old ones are still there.
+    counted aside first: when the job fails, the old ones are still there. A swap that was
+    cut short is finished before anything else, see `finish_export`.
     """
     check_options(shard_size, compression)
     spark = pairs.sparkSession
@@ -89,16 +96,21 @@ def export_shards(
         engine_settings(spark),
         work_folder(spark, output_dir) as work,
     ):
+        _finish(spark, output_dir)
         try:
             shards = shard_map(pairs, shard_size, work, id_column)
             for first in range(0, shards.shards, SHARDS_PER_JOB):
                 last = min(first + SHARDS_PER_JOB, shards.shards) - 1
                 write_shards(pairs, shards, first, last, staging, compression)
-            written = _check_shards(spark, staging, shards)
+            _check_shards(spark, staging, shards)
             lease.check()
-            _publish(spark, output_dir, written, shards.shards)
-        finally:
+        except BaseException:
             delete_folder(spark, staging)
+            raise
+        # Once the plan is there, the new shards stand, whatever happens.
+        plan = json.dumps({"staging": staging, "shards": shards.shards})
+        write_text(spark, f"{output_dir}/{PLAN}", plan)
+        _finish(spark, output_dir)
     return ExportResult(shards.stats.rows, shards.shards, output_dir)
 
 
@@ -138,14 +150,19 @@ def write_shards(
     ).parquet(f"{staging}/first={first}")
 
 
-def _check_shards(spark: SparkSession, staging: str, shards: ShardMap) -> dict[int, str]:
-    """Path of every shard written, after counting its rows from the file footers."""
-    if shards.shards == 0:
-        return {}
-    written = {}
+def _staged(spark: SparkSession, staging: str) -> dict[int, str]:
+    """Path of every shard that lies in `staging`, by its number."""
+    found = {}
     for entry in glob(spark, f"{staging}/first=*/part-*.parquet"):
         first, part = re.search(r"first=(\d+)/part-(\d+)-", entry.path).groups()
-        written[int(first) + int(part)] = entry.path
+        found[int(first) + int(part)] = entry.path
+    return found
+
+
+def _check_shards(spark: SparkSession, staging: str, shards: ShardMap) -> None:
+    """Count the rows of every shard written, from the file footers."""
+    if shards.shards == 0:
+        return
     counted = (
         spark.read.parquet(f"{staging}/first=*")
         .groupBy(
@@ -157,29 +174,56 @@ def _check_shards(spark: SparkSession, staging: str, shards: ShardMap) -> dict[i
     )
     rows = {int(r["first"]) + int(r["part"]): r["count"] for r in counted}
     expected = {k: shards.rows_in(k) for k in range(shards.shards)}
-    if rows != expected or written.keys() != expected.keys():
+    if rows != expected or _staged(spark, staging).keys() != expected.keys():
         raise RuntimeError(
             f"shards do not add up; is {shards.id_column} unique in the exported table?"
         )
-    return written
 
 
-def _publish(
-    spark: SparkSession, output_dir: str, written: dict[int, str], count: int
-) -> None:
-    """Swap the shards. These are the only steps that are not atomic together."""
-    old = [
-        e.path
+def finish_export(spark: SparkSession, output_dir: str) -> bool:
+    """Finish the swap of an export that was cut short in it; whether there was one."""
+    output_dir = output_dir.rstrip("/")
+    with single_writer(spark, output_dir, f"export {uuid.uuid4().hex}"):
+        return _finish(spark, output_dir)
+
+
+def _finish(spark: SparkSession, output_dir: str) -> bool:
+    """Carry out the plan in `output_dir`, if there is one. It may be run again at any point.
+
+    A staged shard has not been moved yet, so what has its name is old, as is every shard
+    that is not of the plan. All old shards go before the first new one comes, and no reader
+    meets both. The plan goes last.
+    """
+    path, plan = f"{output_dir}/{PLAN}", None
+    if path_exists(spark, path):
+        try:
+            plan = json.loads(read_text(spark, path))
+        except ValueError:
+            # Cut short itself, so nothing has been moved yet.
+            delete_file(spark, path)
+    for entry in glob(spark, f"{output_dir}/_staging-*"):
+        if plan is None or entry.name != plan["staging"].rpartition("/")[2]:
+            delete_folder(spark, entry.path)
+    if plan is None:
+        return False
+    count, staged = plan["shards"], _staged(spark, plan["staging"])
+    name = "train-{:05d}-of-{:05d}.parquet".format
+    moved = {name(k, count) for k in range(count) if k not in staged}
+    there = {
+        e.name: e.path
         for e in list_folder(spark, output_dir)
         if e.is_file and e.name.startswith("train-") and e.name.endswith(".parquet")
-    ]
+    }
+    if not moved <= there.keys():
+        raise RuntimeError(f"{path} names shards that are nowhere; nothing was deleted")
+    old = [there[n] for n in there if n not in moved]
     _at_once(lambda path: delete_file(spark, path), old)
     _at_once(
-        lambda k: rename_file(
-            spark, written[k], f"{output_dir}/train-{k:05d}-of-{count:05d}.parquet"
-        ),
-        written,
+        lambda k: rename_file(spark, staged[k], f"{output_dir}/{name(k, count)}"), staged
     )
+    delete_folder(spark, plan["staging"])
+    delete_file(spark, path)
+    return True
 
 
 def _at_once(action: Callable, items: Iterable) -> None:

@@ -150,6 +150,10 @@ class PairStore:
             raise FileNotFoundError(f"no pair store at {self.path}")
         return self._read(self.batches())
 
+    def read_batches(self, batches: list[Batch]) -> DataFrame:
+        """The pairs of some of the `batches`."""
+        return self._read(batches)
+
     def _read(self, batches: list[Batch]) -> DataFrame:
         if not batches:
             return self.spark.createDataFrame([], STORE_SCHEMA)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,8 +11,10 @@ from pyspark.sql import functions as F
 import workload
 from pairloom.functions.record import checked_lines
 from pairloom.operators import conform, coverage, gaps
+from pairloom.plans.coverage_report import write_coverage
 from pairloom.plans.export import export_shards, export_store
-from pairloom.plans.load import LoadResult, load_files, rejected_records
+from pairloom.plans.load import LoadResult, RecordsFailed, load_files, rejected_records
+from pairloom.plans.running_coverage import running_coverage
 from pairloom.schema import EXPORT_FIELDS, LIST_FIELDS, RECORD_FIELDS
 from pairloom.session import engine_settings, written
 from pairloom.sources.folders import (
@@ -394,6 +397,9 @@ def _reasons_sql(columns: str) -> str:
     SELECT {columns}, count(*) AS n FROM p JOIN r ON p.k = r.k GROUP BY {columns}"""
 
 
+REJECTED = ", ".join(f"({k}, '{reason}')" for k, (_, reason, _) in REASONS.items())
+
+
 @query("load_reject_reasons", _reasons_sql("stage, reason, element"))
 def _load_reject_reasons(spark, sf_dir):
     store = _new_store(spark)
@@ -518,6 +524,102 @@ def _load_then_coverage(spark, sf_dir):
     return coverage.cross_counts(store.read(), "domain", "difficulty")
 
 
+LOADS = 4
+
+
+def _in_parts(spark: SparkSession, lines: DataFrame, parts: int) -> list[str]:
+    """Lines as files that follow one another by id."""
+    ranged = lines.repartitionByRange(parts, "id").sortWithinPartitions("id")
+    folder = workload.scratch_folder(spark, "parts")
+    ranged.select("value").write.text(folder)
+    return [part.path for part in glob(spark, f"{folder}/part-*")]
+
+
+@query("coverage_incremental", f"{WITH_LONG} SELECT axis, key, n FROM long")
+def _coverage_incremental(spark, sf_dir):
+    """Reported after several loads, each time from the batches that are new; the batches
+    are compacted in between."""
+    store = _new_store(spark)
+    for k, part in enumerate(_in_parts(spark, workload.valid_lines(spark, sf_dir), LOADS)):
+        load_files(spark, [part], store)
+        if k % 2:
+            counts = running_coverage(store)
+        if k == LOADS // 2:
+            store.compact()
+            store.drop_compacted()
+    return counts
+
+
+@query(
+    "load_reject_lines",
+    f"""{WITH_PAIRS}, r(k, reason) AS (VALUES {REJECTED}),
+    l AS (SELECT doc_id % {LOADS} AS file, k, CAST(sum(CASE k WHEN 13 THEN 3 ELSE 1 END)
+            OVER (PARTITION BY doc_id % {LOADS} ORDER BY doc_id) AS BIGINT) AS line_no FROM p)
+    SELECT file, line_no, reason FROM l JOIN r ON l.k = r.k""",
+)
+def _load_reject_lines(spark, sf_dir):
+    """Where the refused records stand, in files with lines that are blank."""
+    file = ((F.col("id") - 1) % LOADS).alias("file")
+    lines = workload.mixed_lines(spark, sf_dir).select("id", file, "value")
+    folder, store = workload.scratch_folder(spark, "numbered"), _new_store(spark)
+    lines.repartition(LOADS, "file").sortWithinPartitions("file", "id").select(
+        "file", "value"
+    ).write.partitionBy("file").text(folder)
+    result = load_files(spark, [e.path for e in glob(spark, f"{folder}/file=*")], store)
+    file = F.regexp_extract("file_path", r"/file=(\d+)/", 1).cast("long").alias("file")
+    return rejected_records(spark, store, result.load_id).select(file, "line_no", "reason")
+
+
+@query("load_fails_the_run", OUTCOMES_SQL)
+def _load_fails_the_run(spark, sf_dir):
+    """A run that was asked to fail on refused records has stored the others."""
+    try:
+        load_files(
+            spark, [_mixed_input(spark, sf_dir)], _new_store(spark), raise_on_failed=True
+        )
+    except RecordsFailed as error:
+        return _outcomes(spark, error.result)
+    raise AssertionError("no record was refused")
+
+
+@query(
+    "load_created_at",
+    f"""{WITH_PAIRS} SELECT count(*) FILTER (k IN {INSERTED}) AS n,
+    CAST(1 AS BIGINT) AS moments, true AS during_the_load FROM p""",
+)
+def _load_created_at(spark, sf_dir):
+    """One moment for all records of a load, whatever they say of it themselves."""
+    folder, store = _mixed_input(spark, sf_dir), _new_store(spark)
+    before = time.time_ns() // 1000
+    load_files(spark, [folder], store)
+    after = time.time_ns() // 1000
+    moment = F.unix_micros("created_at")
+    return store.read().agg(
+        F.count("*").alias("n"),
+        F.count_distinct("created_at").alias("moments"),
+        F.bool_and(moment.between(before, after)).alias("during_the_load"),
+    )
+
+
+@query("coverage_file", f"{WITH_LONG} SELECT axis, key, n FROM long")
+def _coverage_file(spark, sf_dir):
+    """The file as written, read back."""
+    store = _new_store(spark)
+    load_files(spark, _in_parts(spark, workload.valid_lines(spark, sf_dir), 2), store)
+    path = f"{workload.scratch_folder(spark, 'report')}/coverage.json"
+    write_coverage(spark, store, path)
+    maps = [f"{axis} map<string,long>" for axis in coverage.MAP_FIELDS]
+    schema = ", ".join(["total_count long", *maps])
+    read = spark.read.schema(schema).option("multiLine", True).json(path)
+    total = [F.lit("total").alias("axis"), F.lit("").alias("key")]
+    rows = read.select(*total, F.col("total_count").alias("n"))
+    for axis in coverage.MAP_FIELDS:
+        rows = rows.unionByName(
+            read.select(F.lit(axis).alias("axis"), F.explode(axis).alias("key", "n"))
+        )
+    return rows
+
+
 # --- export ----------------------------------------------------------------------------
 
 SHARDS = 7
@@ -597,12 +699,9 @@ def _export_shards_far_id(spark, sf_dir):
 def _export_small_loads_compacted(spark, sf_dir):
     """Many small loads, one of them given again, joined to few batches and exported."""
     store, lines = _new_store(spark), workload.valid_lines(spark, sf_dir)
-    ranged = lines.repartitionByRange(SMALL_LOADS, "id").sortWithinPartitions("id")
-    folder = workload.scratch_folder(spark, "small")
-    ranged.select("value").write.text(folder)
-    parts = glob(spark, f"{folder}/part-*")
+    parts = _in_parts(spark, lines, SMALL_LOADS)
     for part in [*parts, parts[0]]:
-        load_files(spark, [part.path], store)
+        load_files(spark, [part], store)
     rows = store.read().count()
     store.compact(most_rows=rows // 3)
     store.drop_compacted()
@@ -611,6 +710,16 @@ def _export_small_loads_compacted(spark, sf_dir):
     return _shard_table(_read_shards(spark, folder))
 
 
+@query("export_twice", SHARDS_SQL)
+def _export_twice(spark, sf_dir):
+    """Shards of an earlier export, more of them and other ones, are replaced."""
+    pairs = workload.pairs(spark, sf_dir)
+    folder, size = workload.scratch_folder(spark, "export"), _shard_size(pairs)
+    export_shards(pairs.where("id % 3 = 0"), folder, max(1, size // 9), "none")
+    export_shards(pairs, folder, size, "snappy")
+    return _shard_table(_read_shards(spark, folder))
+
+
 @query("load_then_export", LOADED_SQL)
 def _load_then_export(spark, sf_dir):
     store = _new_store(spark)

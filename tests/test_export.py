@@ -193,3 +193,52 @@ def test_one_far_id_leaves_even_ranges(spark, tmp_path, monkeypatch):
     order = {i: k // 20 for k, i in enumerate(sorted(r.id for r in assigned))}
     assert len(order) == 3000 and all(order[r.id] == r.shard for r in assigned)
     assert all(cut.count() <= 3000 // (4 * 20) for _, cut in found.cuts)
+
+
+@pytest.mark.parametrize("broken", ["delete_file", "rename_file"])
+def test_a_swap_cut_short_is_finished(spark, tmp_path, monkeypatch, broken):
+    out = tmp_path / "o"
+    export_shards(pairs(spark, 12), str(out), 3)
+    (out / "notes.txt").write_text("mine")
+    real, calls = getattr(export_module, broken), []
+
+    def fails_the_third_time(*args):
+        calls.append(args)
+        if len(calls) == 3:
+            raise OSError("lost")
+        real(*args)
+
+    monkeypatch.setattr(export_module, broken, fails_the_third_time)
+    with pytest.raises(OSError, match="lost"):
+        export_shards(pairs(spark, 20, "id + 100"), str(out), 5)
+    monkeypatch.setattr(export_module, broken, real)
+    assert export_module.finish_export(spark, str(out))
+    assert names(out) == ["notes.txt", *shard_names(4)]
+    assert read(out) == [[f"t{i + 100}" for i in range(k, k + 5)] for k in range(0, 20, 5)]
+    assert not export_module.finish_export(spark, str(out))
+
+
+def test_the_next_export_finishes_a_swap_first(spark, tmp_path, monkeypatch):
+    out = tmp_path / "o"
+    real = export_module.rename_file
+    monkeypatch.setattr(export_module, "rename_file", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        export_shards(pairs(spark, 6), str(out), 3)
+    monkeypatch.setattr(export_module, "rename_file", real)
+    doubled = pairs(spark, 4).union(pairs(spark, 4))
+    with pytest.raises(RuntimeError, match="add up"):
+        export_shards(doubled, str(out), 3)
+    assert read(out) == [["t0", "t1", "t2"], ["t3", "t4", "t5"]]
+
+
+def test_a_plan_cut_short_and_left_shards(spark, tmp_path):
+    out = tmp_path / "o"
+    export_shards(pairs(spark, 6), str(out), 3)
+    (out / "_publish.json").write_text('{"staging": "x')
+    (out / "_staging-old").mkdir()
+    assert not export_module.finish_export(spark, str(out))
+    assert names(out) == shard_names(2)
+    (out / "_publish.json").write_text('{"staging": "/gone/_staging-1", "shards": 9}')
+    with pytest.raises(RuntimeError, match="nowhere"):
+        export_module.finish_export(spark, str(out))
+    assert names(out) == ["_publish.json", *shard_names(2)]
