@@ -51,7 +51,7 @@ def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_repeated_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every unit of a document that repeats an earlier one, in runs of 30 words or more."""
+    """Every line that repeats an earlier one, and parts of lines in runs of 30 words or more."""
     return repeated_units.repeated_units(table(spark, sf_dir, "documents"))
 
 

@@ -17,9 +17,9 @@ def passage(pick, sentences=6):
 @pytest.mark.parametrize("unit", units.UNITS)
 def test_spans_cover_the_text_in_order(unit):
     text = "One two three. Four five six seven eight nine ten eleven! x\n\nNext? line\n \nend"
-    found = list(units.spans(text, unit, 3))
+    found = list(units.spans(text, unit))
     assert "".join(text[a:b] for a, b in found) == text
-    assert list(units.spans("", unit, 3)) == [(0, 0)]
+    assert list(units.spans("", unit)) == [(0, 0)]
 
 
 def test_passages_are_found_as_lines_and_inside_lines(spark):
@@ -41,7 +41,8 @@ def test_passages_are_found_as_lines_and_inside_lines(spark):
     cleaned = {r.doc_id: r for r in units.without_units(docs, removed).collect()}
     texts = {r.doc_id: r.text for r in docs.collect()}
     assert cleaned[2].text == f"{own[2]}\n{own[3]}"
-    assert cleaned[3].text.split() == f"{own[4]} {own[5]}".split()
+    left = cleaned[3].text.split()
+    assert len(left) <= 120 + 21 and left[:60] == own[4].split() and left[-60:] == own[5].split()
     assert cleaned[1].text == texts[1] and cleaned[4].text == texts[4]
     for i, row in cleaned.items():
         assert "".join(texts[i][s.start : s.end] for s in row.kept_spans) == row.text
@@ -53,15 +54,102 @@ def test_only_lines_miss_a_passage_inside_a_line(spark):
     docs = documents(spark, [(1, shared, "s"), (2, "x " + shared + " y", "s")])
     assert units.repeated_units(docs, unit="line").count() == 0
     assert units.repeated_units(docs, unit="paragraph").count() == 0
-    assert units.repeated_units(docs, unit="sentence").count() > 0
+    assert units.repeated_units(docs, unit="passage").count() > 0
 
 
-def test_short_phrases_stay(spark):
+def test_short_lines_go_and_short_phrases_stay(spark):
     pick = random.Random(3)
     footer = "All rights reserved to the authors of this page."
     docs = documents(spark, [(i, passage(pick) + "\n" + footer, "s") for i in range(20)])
-    assert units.repeated_units(docs).count() == 0
-    assert units.repeated_units(docs, min_run_words=1).count() == 19
+    found = units.repeated_units(docs)
+    assert rows_of(found, "doc_id", "kind", "keep_id", "occurrences") == [
+        (i, "whole", 0, 20) for i in range(1, 20)
+    ]
+    inside = [(i, f"{words(pick, 30)} {footer} {words(pick, 30)}", "s") for i in range(20)]
+    assert units.repeated_units(documents(spark, inside)).count() == 0
+    assert units.repeated_units(documents(spark, inside), min_run_words=1).count() > 0
+
+
+def test_passages_of_51_words_without_marks(spark):
+    """Pasted into two lines each, at any place; found in nearly all, and nothing else."""
+    pick = random.Random(7)
+    rows = []
+    for k in range(300):
+        shared = words(pick, 51)
+        for i in (2 * k, 2 * k + 1):
+            own = [words(pick, pick.randrange(5, 60)) for _ in range(2)]
+            rows.append((i, f"{own[0]} {shared} {own[1]}", shared))
+    removed = units.repeated_units(documents(spark, rows))
+    cleaned = units.without_units(documents(spark, rows), removed)
+    shared = {i: text for i, _, text in rows}
+    texts = {i: text for i, text, _ in rows}
+    found = {r.doc_id: r for r in removed.collect()}
+    assert len(found) >= 297 and all(i % 2 and r.keep_id == i - 1 for i, r in found.items())
+    for row in cleaned.collect():
+        if row.doc_id in found:
+            own = texts[row.doc_id].split(shared[row.doc_id])
+            assert row.text.startswith(own[0].strip()) and row.text.endswith(own[1].strip())
+
+
+def test_whole_result_equals_brute_force(spark):
+    pick = random.Random(8)
+    pool = [words(pick, pick.randrange(1, 40)) for _ in range(30)]
+    rows = [
+        (i if i % 9 else None, "\n".join(
+            " ".join(pick.choice(pool) for _ in range(pick.randrange(1, 4)))
+            for _ in range(pick.randrange(0, 7))
+        ), "s")
+        for i in range(120)
+    ]
+    rows[5] = (5, rows[4][1].upper(), "s")
+    for least in (1, 30):
+        found = rows_of(
+            units.repeated_units(documents(spark, rows), min_run_words=least),
+            "doc_id", "kind", "start", "end", "keep_id", "occurrences",
+        )
+        assert sorted(found, key=repr) == sorted(brute_force(rows, least), key=repr)
+
+
+def brute_force(rows, least):
+    """The units that go, from the words themselves."""
+    wholes, parts, order = {}, {}, lambda i: (i is None, i or 0)
+    documents_ = []
+    for at, (i, text, _) in enumerate(rows):
+        pieces = [
+            (start, end, " ".join(w.decode() for w in found), part, whole)
+            for start, end, found, part, whole in units.pieces(text, "passage")
+        ]
+        documents_.append((at, i, pieces))
+        for k, (_, _, said, part, whole) in enumerate(pieces):
+            if whole:
+                wholes.setdefault(said, []).append((order(i), at, k))
+            if part:
+                parts.setdefault(said, []).append((order(i), at, k))
+    # Rows without an id are one document: each has its own first occurrence.
+    firsts = lambda places, i, at: min(k for o, a, k in places if a == at)
+    out = []
+    for at, i, pieces in documents_:
+        run, runs, lone = [], [], [(k, p) for k, p in enumerate(pieces) if p[3]]
+        for k, piece in lone:
+            places = parts[piece[2]]
+            kept = order(i) == min(places)[0] and k == firsts(places, i, at)
+            if len(places) > 1 and not kept:
+                run.append((piece, min(places)[0], len(places)))
+            elif run:
+                runs, run = [*runs, run], []
+        runs = [*runs, run] if run else runs
+        for found in runs:
+            if sum(len(p[2].split()) for p, _, _ in found) >= least:
+                out += [
+                    (i, "part", p[0], p[1], None if o[0] else o[1], n) for p, o, n in found
+                ]
+        for k, piece in enumerate(pieces):
+            places = wholes.get(piece[2], []) if piece[4] else []
+            kept = places and order(i) == min(places)[0] and k == firsts(places, i, at)
+            if len(places) > 1 and not kept:
+                o = min(places)[0]
+                out.append((i, "whole", piece[0], piece[1], None if o[0] else o[1], len(places)))
+    return out
 
 
 def test_digests_equal_brute_force(spark):
@@ -69,7 +157,7 @@ def test_digests_equal_brute_force(spark):
     pool = [words(pick, 9) for _ in range(12)]
     rows = [(i, "\n".join(pick.choice(pool) for _ in range(6)), "s") for i in range(25)]
     found = rows_of(
-        units.repeated_units(documents(spark, rows), "line", min_run_words=1),
+        units.repeated_units(documents(spark, rows), "line"),
         "doc_id", "unit", "keep_id", "occurrences",
     )
     first, count = {}, {}
