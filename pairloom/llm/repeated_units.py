@@ -14,7 +14,8 @@ goes. Of a repeated passage some 9 words are lost to cut units at its ends, so 5
 running text are found but for about one in a thousand. Phrases inside lines that are
 shorter than a run stay. What goes always has an earlier occurrence that stays.
 
-Only `(id, place, offsets, digest)` is shuffled, never text. A unit that stands in a third of
+Only `(id, place, offsets, digest)` is shuffled, never text: once to find the digests whose
+first halves occur again, and then for these few. A unit that stands in a third of
 all documents is one row per task when digests are counted, and meets its count by a
 bounded broadcast.
 
@@ -47,11 +48,23 @@ from pairloom.llm.common import (
 
 UNITS = ("line", "paragraph", "passage")
 CUT_FROM = 8
+# Two 32-bit numbers a column: what is shuffled for every unit should be narrow. `flags` are
+# 1 for a part, 2 for a whole line, 4 for the first of its digest, 8 for the first whole one.
 SCHEMA = (
-    "id long, text_hash long, unit int, start long, end long, words long, "
-    "words_before long, part boolean, whole boolean, first boolean, first_whole boolean, "
-    "digest binary"
+    "id long, text_hash long, span long, size long, unit_flags long, hash long, rest long"
 )
+UNPACKED = {
+    "unit": "cast(shiftright(unit_flags, 4) as int)",
+    "start": "shiftright(span, 32)",
+    "end": "span & 4294967295L",
+    "words_before": "shiftright(size, 32)",
+    "words": "size & 4294967295L",
+    "part": "unit_flags & 1 = 1",
+    "whole": "unit_flags & 2 = 2",
+    "first": "unit_flags & 4 = 4",
+    "first_whole": "unit_flags & 8 = 8",
+    "digest": "struct(hash, rest)",
+}
 RESULT = ("kind", "unit", "start", "end", "words", "keep_id", "occurrences")
 
 
@@ -100,6 +113,8 @@ def pieces(text: str, unit: str) -> Iterator[tuple[int, int, list[bytes], bool,
 
 def document_units(text: str, unit: str) -> list[tuple]:
     """The rows of `SCHEMA` for one text, without its id."""
+    from struct import unpack
+
     import xxhash
 
     rows, seen, seen_whole, number, before = [], set(), set(), 0, 0
@@ -108,10 +123,11 @@ def document_units(text: str, unit: str) -> list[tuple]:
         # A cut line must not be taken for a part that reads the same.
         joined = b" ".join(words) if part else b"\n" + b" ".join(words)
         digest = xxhash.xxh3_128_digest(joined)
-        first, first_whole = digest not in seen, whole and digest not in seen_whole
+        flags = part + 2 * whole + 4 * (digest not in seen)
+        flags += 8 * (whole and digest not in seen_whole)
         rows.append(
-            (text_hash, number, start, end, len(words), before, part, whole)
-            + (first, first_whole, digest)
+            (text_hash, start << 32 | end, before << 32 | len(words), number << 4 | flags)
+            + unpack("<2q", digest)
         )
         seen.add(digest)
         if whole:
@@ -125,7 +141,7 @@ def _units_of(unit: str):
     import pyarrow as pa
 
     names = [part.split()[0] for part in SCHEMA.split(", ")]
-    types = [pa.int64(), pa.int32(), *[pa.int64()] * 4, *[pa.bool_()] * 4, pa.binary()]
+    types = [pa.int64()] * 6
 
     def batches(parts: Iterator) -> Iterator:
         for _, part in by_bytes(parts, "text"):
@@ -158,6 +174,12 @@ def repeated_units(
     text_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     units = scratch.write(rows.mapInArrow(_units_of(unit), SCHEMA), "units")
+    # Half a digest tells nearly all units apart that stand once; few are left for the rest.
+    often = units.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    often = scratch.write(often, "often")
+    met = lookup(units, often, "hash", "n").drop("n")
+    unpacked = [f"{how} as {name}" for name, how in UNPACKED.items()]
+    units = scratch.write(met, "met").selectExpr("id", "text_hash", *unpacked)
     rank = F.struct(F.col("id").isNull().alias("no_id"), "id")
     counts = (
         units.groupBy("digest")
