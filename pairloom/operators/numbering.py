@@ -2,22 +2,30 @@
 
 A split of a file is read by one task, which counts its lines in `mid`. What is missing
 is how many lines came before the split. That follows from one row per split (a 100 TB
-input has under a million), so the lines themselves are never shuffled or sorted.
+input has under a million), so the lines themselves are never shuffled or sorted. More
+splits than can be broadcast at once are taken in groups of the tasks that read them: `mid`
+holds the task's number, so a group is a range of `mid`, which the statistics of the written
+lines select without reading the others.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairloom.functions.record import FAILED, OK, OVERLONG
 
-# A split row takes some 60 bytes in a broadcast, so this is about 64 MB.
+# A split row takes some 100 bytes in a broadcast, so this is about 100 MB. A task's splits
+# are not parted, but they are few.
 SPLITS_TO_BROADCAST = 1_000_000
+# Files whose order is broadcast to the split table; more are joined by a shuffle of that table.
 FILES_TO_BROADCAST = 100_000
+# `monotonically_increasing_id` holds the task's number above the row's in 33 bits.
+TASK_BITS = 33
 
 
 @dataclass(frozen=True)
@@ -103,23 +111,55 @@ def number_lines(
     order = spark.createDataFrame(rows, schema)
     if len(rows) <= FILES_TO_BROADCAST:
         order = F.broadcast(order)
-    split_rows = splits.join(order, "file_path").select(
-        "file_ord", "block_start", "first_mid", "lines_before"
+    places = splits.join(order, "file_path").select(
+        "file_path",
+        "block_start",
+        "file_ord",
+        (F.col("base") + F.col("lines_before") - F.col("first_mid")).alias("to_line"),
+        (F.col("lines_before") - F.col("first_mid") + 1).alias("to_line_no"),
+        "cut_block",
+        "cut_at",
+        F.shiftright("first_mid", TASK_BITS).alias("task"),
     )
     if sum(per_file[r[0]].splits for r in rows) <= SPLITS_TO_BROADCAST:
-        split_rows = F.broadcast(split_rows)
-
-    numbered = (
-        checked.join(order, "file_path")
-        .join(split_rows, ["file_ord", "block_start"])
-        .withColumn("line_no", F.expr("lines_before + mid - first_mid + 1"))
-        .withColumn("line", F.expr("base + line_no - 1"))
+        parts = [(checked, places)]
+    else:
+        parts = [
+            (
+                checked.where(F.col("mid").between(low << TASK_BITS, ((high + 1) << TASK_BITS) - 1)),
+                places.where(F.col("task").between(low, high)),
+            )
+            for low, high in _task_ranges(places)
+        ]
+    cut = any(seen.cut for seen in per_file.values())
+    numbered = reduce(
+        DataFrame.unionByName,
+        [_with_places(lines, here, cut) for lines, here in parts],
+    )
+    return numbered.drop("block_start", "mid")
+
+
+def _task_ranges(places: DataFrame) -> list[tuple[int, int]]:
+    """First and last task of groups with at most `SPLITS_TO_BROADCAST` rows, or one task."""
+    ranges, size = [], 0
+    for row in places.groupBy("task").count().orderBy("task").toLocalIterator():
+        if ranges and size + row["count"] <= SPLITS_TO_BROADCAST:
+            ranges[-1], size = (ranges[-1][0], row.task), size + row["count"]
+        else:
+            ranges.append((row.task, row.task))
+            size = row["count"]
+    return ranges
+
+
+def _with_places(lines: DataFrame, places: DataFrame, cut: bool) -> DataFrame:
+    placed = (
+        lines.join(F.broadcast(places.drop("task")), ["file_path", "block_start"])
+        .withColumn("line", F.expr("to_line + mid"))
+        .withColumn("line_no", F.expr("to_line_no + mid"))
     )
-    if any(seen.cut for seen in per_file.values()):
-        numbered = numbered.where(
+    if cut:
+        placed = placed.where(
             "cut_block is null or block_start < cut_block"
             " or (block_start = cut_block and mid < cut_at)"
         )
-    return numbered.drop(
-        "base", "cut_block", "cut_at", "first_mid", "lines_before", "block_start", "mid"
-    )
+    return placed.drop("to_line", "to_line_no", "cut_block", "cut_at")
