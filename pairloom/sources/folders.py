@@ -73,15 +73,18 @@ def list_folder(spark: SparkSession, path: str) -> list[Entry]:
     return sorted((_entry(s) for s in fs.listStatus(p)), key=lambda e: e.name)
 
 
-def changes_in(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
-    """`(path, modified, size)` of the files in a folder, by time and then by name."""
+@dataclass(frozen=True)
+class Status:
+    path: str
+    modified: int
+    size: int
+
+
+def status_of(spark: SparkSession, path: str) -> Status:
+    """A file's or folder's full path, time in milliseconds and size."""
     fs, p = _open(spark, path)
-    found = [
-        (s.getPath().toString(), s.getModificationTime(), s.getLen())
-        for s in fs.listStatus(p)
-        if s.isFile()
-    ]
-    return sorted(found, key=lambda f: (f[1], f[0]))
+    status = fs.getFileStatus(p)
+    return Status(status.getPath().toString(), status.getModificationTime(), status.getLen())
 
 
 def modified_at(spark: SparkSession, uri: str) -> int:

@@ -15,6 +15,7 @@ from pairloom.sources.folders import (
     entry_of,
     list_folder,
     literal_path,
+    path_exists,
     scan_uri,
 )
 
@@ -39,6 +40,13 @@ def no_records(names: set[str], name: str) -> bool:
     return name in NOT_RECORDS or (name == f".{checked}.crc" and checked in names)
 
 
+def no_record_file(spark: SparkSession, folder: str, name: str) -> bool:
+    """`no_records` for one file, without the names of all others."""
+    checked = name.removeprefix(".").removesuffix(".crc")
+    there = name == f".{checked}.crc" and path_exists(spark, f"{folder}/{checked}")
+    return no_records({checked} if there else set(), name)
+
+
 def find_files(
     spark: SparkSession, paths: Iterable[str], staging: str, ignored: list[str] | None = None
 ) -> list[InputFile]:

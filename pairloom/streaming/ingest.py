@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 import hashlib
-import json
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pairloom.plans.load import LoadResult, load_files, load_lines
+from pairloom.session import work_folder, written
+from pairloom.sources.change_log import ChangeLog, FileChange, files_in
 from pairloom.sources.folders import (
-    changes_in,
-    glob,
     list_folder,
     make_folder,
     path_exists,
     read_text,
+    single_writer,
     write_text,
 )
 from pairloom.sources.jsonl import line_columns, no_records, number_in_task
@@ -138,44 +139,50 @@ def load_arrivals(
 ) -> list[LoadResult]:
     """One scheduled run over a folder whose files may be written again under their names.
 
-    A file is loaded if its time or size is not the one in the log, that is also after it
-    was rewritten; the store skips records it has. Files go by time and then by name, and
-    in loads of `max_files`, which does not change what is stored. Each load is written to
-    the log as a plan before and as done after, under one number; a run that finds a
-    plan that is not done repeats it under the same load id, so a crash neither loses
-    nor doubles a file.
+    A file is loaded if its time or size is not the one in the log (`ChangeLog`), that is
+    also after it was rewritten; the store skips records it has. Files go by time and then by
+    name, and in loads of `max_files`, which does not change what is stored; the driver
+    knows those of one load only. Each load is written to the log as a plan before and as
+    done after, under one number; a run that finds a plan that is not done repeats it under
+    the same load id, so a crash neither loses nor doubles a file. One run at a time holds
+    the log. Files that are none of records by their names are `ignored` in the first
+    result, if anything was loaded.
     """
     store.create()
     make_folder(spark, log)
     stream_id = _stream_id(spark, log)
-    number, seen = 0, {}
-    plans = {int(e.name.removesuffix(".plan")) for e in glob(spark, f"{log}/*.plan")}
-    done = {int(e.name.removesuffix(".done")) for e in glob(spark, f"{log}/*.done")}
-    results = []
+    name = f"arrivals {stream_id}"
+    changes, results, ignored = ChangeLog(spark, log), [], []
 
-    def run(number: int, files: list, seen: dict) -> dict:
+    def run(number: int, files: list[FileChange]) -> None:
         paths = [path for path, _, _ in files]
-        name = f"arrivals {stream_id}"
         results.append(
             load_files(spark, paths, store, f"{stream_id}-{number}", taxonomy, owner=name)
         )
-        write_text(spark, f"{log}/{number}.done", "")
-        return seen | {path: [modified, size] for path, modified, size in files}
-
-    if plans:
-        number = max(plans)
-        plan = json.loads(read_text(spark, f"{log}/{number}.plan"))
-        seen = plan["seen"]
-        if number not in done:
-            seen = run(number, plan["files"], seen)
-        else:
-            seen |= {path: [modified, size] for path, modified, size in plan["files"]}
-    fresh = [f for f in changes_in(spark, folder) if seen.get(f[0]) != [f[1], f[2]]]
-    for start in range(0, len(fresh), max_files):
-        files, number = fresh[start : start + max_files], number + 1
-        plan = json.dumps({"files": files, "seen": seen})
-        write_text(spark, f"{log}/{number}.plan", plan, overwrite=False)
-        seen = run(number, files, seen)
+        write_text(spark, changes.done_path(number), "")
+
+    with single_writer(spark, log, name) as lease, work_folder(spark, log) as work:
+        number = changes.last()
+        if number and not changes.is_done(number):
+            run(number, changes.files_of(number))
+        fresh = changes.changed(files_in(spark, folder, ignored))
+        fresh, last = written(fresh, f"{work}/fresh"), None
+        while True:
+            order, rest = F.struct("modified", "path"), fresh
+            if last:
+                # The first condition alone reaches the scan's statistics.
+                after = F.struct(F.lit(last[1]).alias("modified"), F.lit(last[0]).alias("path"))
+                rest = fresh.where((F.col("modified") >= last[1]) & (order > after))
+            files = [tuple(f) for f in rest.orderBy("modified", "path").limit(max_files).collect()]
+            if not files:
+                break
+            last, number = files[-1], number + 1
+            lease.check()
+            changes.plan(number, files)
+            run(number, files)
+            changes.shorten()
+    if results:
+        results[0].ignored += ignored
     return results
 
 
