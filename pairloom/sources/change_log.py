@@ -90,8 +90,19 @@ class ChangeLog:
         return max(self._numbers("states"), default=0)
 
     def last(self) -> int:
-        """Number of the newest plan, 0 before the first."""
-        return max([self._state(), *self._numbers("plans")])
+        """Number of the newest plan, 0 before the first.
+
+        Logs of an earlier form hold `<n>.plan`, whose numbers are not given again: loads
+        of that name may be stored. Their files count as not seen.
+        """
+        plans = glob(self.spark, f"{self.path}/*.plan")
+        earlier = [int(e.name.removesuffix(".plan")) for e in plans]
+        return max([self._state(), *self._numbers("plans"), *earlier])
+
+    def unfinished(self) -> int | None:
+        """The newest plan, if its load is not done."""
+        newest = max(self._numbers("plans"), default=0)
+        return newest if newest and not self.is_done(newest) else None
 
     def done_path(self, number: int) -> str:
         return f"{self.path}/{number}.done"

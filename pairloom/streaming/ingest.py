@@ -163,8 +163,8 @@ def load_arrivals(
 
     with single_writer(spark, log, name) as lease, work_folder(spark, log) as work:
         number = changes.last()
-        if number and not changes.is_done(number):
-            run(number, changes.files_of(number))
+        if (unfinished := changes.unfinished()) is not None:
+            run(unfinished, changes.files_of(unfinished))
         fresh = changes.changed(files_in(spark, folder, ignored))
         fresh, last = written(fresh, f"{work}/fresh"), None
         while True:

@@ -94,6 +94,21 @@ def test_many_loads_leave_few_folders(spark, tmp_path, source, monkeypatch):
     assert len(store.batches()) == 7
 
 
+def test_numbers_of_a_log_of_the_earlier_form_are_not_given_again(spark, tmp_path, source):
+    store, log = PairStore(spark, str(tmp_path / "store")), tmp_path / "log"
+    arrive(source / "1.jsonl", ["a"], 1_700_000_000)
+    ingest.load_arrivals(spark, str(source), store, str(log))
+    stream_id = (log / "load_stream_id").read_text()
+    old = tmp_path / "old"
+    old.mkdir()
+    (old / "load_stream_id").write_text(stream_id)
+    (old / "1.plan").write_text("{}")
+    arrive(source / "2.jsonl", ["b"], 1_700_000_001)
+    (result,) = ingest.load_arrivals(spark, str(source), store, str(old))
+    assert (result.inserted, result.skipped, result.replayed) == (1, 1, False)
+    assert ChangeLog(spark, str(old)).last() == 2
+
+
 def test_two_runs_do_not_share_a_log(spark, tmp_path, source):
     store, log = PairStore(spark, str(tmp_path / "store")), str(tmp_path / "log")
     write_file(source / "1.jsonl", [record("a")])
