@@ -527,12 +527,15 @@ def _load_then_coverage(spark, sf_dir):
 LOADS = 4
 
 
-def _in_parts(spark: SparkSession, lines: DataFrame, parts: int) -> list[str]:
-    """Lines as files that follow one another by id."""
-    ranged = lines.repartitionByRange(parts, "id").sortWithinPartitions("id")
+def _in_parts(spark: SparkSession, lines: DataFrame, parts: int) -> list[list[str]]:
+    """Lines as up to so many lists of files, all of which follow one another by id."""
+    files = parts * -(-workload.files_for(lines) // parts)
+    ranged = lines.repartitionByRange(files, "id").sortWithinPartitions("id")
     folder = workload.scratch_folder(spark, "parts")
     ranged.select("value").write.text(folder)
-    return [part.path for part in glob(spark, f"{folder}/part-*")]
+    paths = [part.path for part in glob(spark, f"{folder}/part-*")]
+    cuts = [k * len(paths) // parts for k in range(parts + 1)]
+    return [paths[a:b] for a, b in zip(cuts, cuts[1:]) if a < b]
 
 
 @query("coverage_incremental", f"{WITH_LONG} SELECT axis, key, n FROM long")
@@ -541,7 +544,7 @@ def _coverage_incremental(spark, sf_dir):
     are compacted in between."""
     store = _new_store(spark)
     for k, part in enumerate(_in_parts(spark, workload.valid_lines(spark, sf_dir), LOADS)):
-        load_files(spark, [part], store)
+        load_files(spark, part, store)
         if k % 2:
             counts = running_coverage(store)
         if k == LOADS // 2:
@@ -605,7 +608,8 @@ def _load_created_at(spark, sf_dir):
 def _coverage_file(spark, sf_dir):
     """The file as written, read back."""
     store = _new_store(spark)
-    load_files(spark, _in_parts(spark, workload.valid_lines(spark, sf_dir), 2), store)
+    parts = _in_parts(spark, workload.valid_lines(spark, sf_dir), 2)
+    load_files(spark, [path for part in parts for path in part], store)
     path = f"{workload.scratch_folder(spark, 'report')}/coverage.json"
     write_coverage(spark, store, path)
     maps = [f"{axis} map<string,long>" for axis in coverage.MAP_FIELDS]
@@ -701,7 +705,7 @@ def _export_small_loads_compacted(spark, sf_dir):
     store, lines = _new_store(spark), workload.valid_lines(spark, sf_dir)
     parts = _in_parts(spark, lines, SMALL_LOADS)
     for part in [*parts, parts[0]]:
-        load_files(spark, [part], store)
+        load_files(spark, part, store)
     rows = store.read().count()
     store.compact(most_rows=rows // 3)
     store.drop_compacted()

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from pairloom.schema import RECORD_FIELDS
 from pairloom.taxonomy import axis_values
 
+FILE_BYTES = 128 * 2**20
+"""About the most bytes of lines that one task writes as a file."""
+
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder in the shared folder the cluster names; in the local temporary
@@ -123,6 +126,12 @@ def mixed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", line.alias("value"))
 
 
+def files_for(lines: DataFrame) -> int:
+    """How many files of FILE_BYTES the lines fill."""
+    held = lines.agg(F.coalesce(F.sum(F.octet_length("value") + 1), F.lit(0))).first()[0]
+    return max(1, -(-held // FILE_BYTES))
+
+
 def write_lines(lines: DataFrame, folder: str) -> str:
     """Write `(id, value)` as text files whose name order is the id order."""
     lines.repartitionByRange("id").sortWithinPartitions("id").select("value").write.text(
