@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import workload
@@ -561,16 +561,29 @@ def _coverage_incremental(spark, sf_dir):
     SELECT file, line_no, reason FROM l JOIN r ON l.k = r.k""",
 )
 def _load_reject_lines(spark, sf_dir):
-    """Where the refused records stand, in files with lines that are blank."""
+    """Where the refused records stand, in files with lines that are blank; a large file is
+    given in parts, whose lines are numbered on."""
     file = ((F.col("id") - 1) % LOADS).alias("file")
     lines = workload.mixed_lines(spark, sf_dir).select("id", file, "value")
     folder, store = workload.scratch_folder(spark, "numbered"), _new_store(spark)
-    lines.repartition(LOADS, "file").sortWithinPartitions("file", "id").select(
+    parts = max(LOADS, workload.files_for(lines))
+    lines.repartitionByRange(parts, "file", "id").sortWithinPartitions("file", "id").select(
         "file", "value"
     ).write.partitionBy("file").text(folder)
     result = load_files(spark, [e.path for e in glob(spark, f"{folder}/file=*")], store)
     file = F.regexp_extract("file_path", r"/file=(\d+)/", 1).cast("long").alias("file")
-    return rejected_records(spark, store, result.load_id).select(file, "line_no", "reason")
+    # One row per part: the lines of the parts before it.
+    text = spark.read.option("lineSep", "\n").text(folder)
+    counted = text.groupBy(F.col("_metadata.file_path").alias("file_path")).count()
+    before = Window.partitionBy(F.regexp_extract("file_path", r"^(.*)/", 1)).orderBy(
+        "file_path"
+    ).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counted.select(
+        "file_path", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start")
+    )
+    line_no = (F.col("start") + F.col("line_no")).alias("line_no")
+    rejects = rejected_records(spark, store, result.load_id)
+    return rejects.join(F.broadcast(starts), "file_path").select(file, line_no, "reason")
 
 
 @query("load_fails_the_run", OUTCOMES_SQL)

@@ -15,7 +15,7 @@ BYTES = 30_000
 
 
 @pytest.mark.parametrize(
-    "name", ["coverage_file", "coverage_incremental"]
+    "name", ["coverage_file", "load_reject_lines", "coverage_incremental"]
 )
 def test_large_inputs_are_cut_into_files(spark, sf_dir, monkeypatch, name):
     given = []
