@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.schema import STORE_SCHEMA
+from pairloom.schema import LIST_FIELDS, RECORD_FIELDS, STORE_SCHEMA
 from pairloom.session import engine_settings
 from pairloom.sources.folders import (
     MARKER,
@@ -54,9 +54,10 @@ KEYS_PER_BUCKET = 500_000
 MERGE_AT = 8
 # Segments of fewer keys are of one size.
 SMALLEST_SIZE = 1000
-# Rows a compacted batch may have, and rows of one of its files.
+# Rows a compacted batch may have, and rows and bytes of text of one of its files.
 COMPACTED_ROWS = 1_000_000
 ROWS_PER_FILE = 250_000
+BYTES_PER_FILE = 128 * 2**20
 
 
 def key_bucket(key: str, buckets: int = MOST_BUCKETS) -> Column:
@@ -282,6 +283,15 @@ class PairStore:
         rows = {r["folder"]: r["count"] for r in counted}
         return {b.path: rows.get(scan_uri(self.spark, b.path).rstrip("/"), 0) for b in batches}
 
+    def _text_bytes(self, batches: list[Batch]) -> int:
+        """Bytes of the rows' texts, lists as JSON."""
+        held = [
+            F.octet_length(F.to_json(name) if name in LIST_FIELDS else F.col(name))
+            for name in RECORD_FIELDS
+        ]
+        sizes = [F.sum(size) for size in held]
+        return sum(size or 0 for size in self._read(batches).agg(*sizes).first())
+
     def _write_run(self, run: list[Batch], rows: int) -> None:
         first, last = run[0].first_id, run[-1].last_first_id
         folder = f"{self.path}/_merged/from={first:020d}/to={last:020d}"
@@ -292,7 +302,7 @@ class PairStore:
         delete_folder(self.spark, folder)
         make_folder(self.spark, folder)
         write_text(self.spark, f"{folder}/_loads", "\n".join(sorted(set(loads))))
-        ranges = max(1, -(-rows // ROWS_PER_FILE))
+        ranges = max(1, -(-rows // ROWS_PER_FILE), -(-self._text_bytes(run) // BYTES_PER_FILE))
         self._read(run).repartitionByRange(ranges, "id").sortWithinPartitions("id").write.mode(
             "append"
         ).option("compression", "zstd").options(**WITH_MARKER).parquet(folder)

@@ -8,8 +8,11 @@ import pytest
 import registered
 import workload
 from pairloom.plans.load import load_files
+from pairloom.sources import pair_store
+from pairloom.sources.pair_store import PairStore
 from tests.conftest import SF_DIR
 from tests.oracle import connect, duck_rows, spark_rows
+from tests.records import record, write_file
 
 BYTES = 30_000
 
@@ -31,3 +34,16 @@ def test_large_inputs_are_cut_into_files(spark, sf_dir, monkeypatch, name):
     rows = spark_rows(registered.QUERIES[name](spark, sf_dir))
     assert rows == duck_rows(connect(SF_DIR), registered.ORACLES[name])
     assert len(given) > 12 and max(given) < 2 * BYTES
+
+
+def test_a_compacted_batch_has_files_of_bounded_bytes(spark, tmp_path, monkeypatch):
+    store = PairStore(spark, str(tmp_path / "store"))
+    for k in range(2):
+        texts = [record(f"{k}-{i}", final_answer="x" * 1000) for i in range(20)]
+        load_files(spark, [write_file(tmp_path / f"{k}.jsonl", texts)], store)
+    rows = sorted(map(repr, store.read().collect()))
+    monkeypatch.setattr(pair_store, "BYTES_PER_FILE", 8000)
+    assert store.compact() == 2
+    (batch,) = store.batches()
+    assert len(list(Path(batch.path.removeprefix("file:")).glob("part-*"))) > 4
+    assert sorted(map(repr, store.read().collect())) == rows
