@@ -14,10 +14,10 @@ goes. Of a repeated passage some 9 words are lost to cut units at its ends, so 5
 running text are found but for about one in a thousand. Phrases inside lines that are
 shorter than a run stay. What goes always has an earlier occurrence that stays.
 
-Only `(id, place, offsets, digest)` is shuffled, never text: once to find the digests whose
-first halves occur again, and then for these few. A unit that stands in a third of
-all documents is one row per task when digests are counted, and meets its count by a
-bounded broadcast.
+Only `(id, place, offsets, digest)` is shuffled, never text, and once: equal digests meet and
+are counted where they meet. A unit that stands in a third of all documents is not shuffled.
+It is found by its share of a batch, is one row per task when its digest is counted, and
+meets its count by a bounded broadcast.
 
 Defined cases: null or empty texts have no units; blank units are none, and do not interrupt
 a run. Within a document the first of several equal units is its occurrence. A null id comes
@@ -38,10 +38,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.llm.common import (
+    HOT_SHARE,
     Scratch,
     by_bytes,
     columns_of_row,
-    lookup,
     text_batches,
     whole_row,
 )
@@ -49,12 +49,13 @@ from pairloom.llm.common import (
 UNITS = ("line", "paragraph", "passage")
 CUT_FROM = 8
 # Two 32-bit numbers a column: what is shuffled for every unit should be narrow. `flags` are
-# 1 for a part, 2 for a whole line, 4 for the first of its digest, 8 for the first whole one.
+# 1 for a part, 2 for a whole line, 4 for the first of its digest, 8 for the first whole one,
+# 16 where the digest has more than one in HOT_SHARE of the batch's units.
 SCHEMA = (
     "id long, text_hash long, span long, size long, unit_flags long, hash long, rest long"
 )
 UNPACKED = {
-    "unit": "cast(shiftright(unit_flags, 4) as int)",
+    "unit": "cast(shiftright(unit_flags, 5) as int)",
     "start": "shiftright(span, 32)",
     "end": "span & 4294967295L",
     "words_before": "shiftright(size, 32)",
@@ -63,7 +64,6 @@ UNPACKED = {
     "whole": "unit_flags & 2 = 2",
     "first": "unit_flags & 4 = 4",
     "first_whole": "unit_flags & 8 = 8",
-    "digest": "struct(hash, rest)",
 }
 RESULT = ("kind", "unit", "start", "end", "words", "keep_id", "occurrences")
 
@@ -126,7 +126,7 @@ def document_units(text: str, unit: str) -> list[tuple]:
         flags = part + 2 * whole + 4 * (digest not in seen)
         flags += 8 * (whole and digest not in seen_whole)
         rows.append(
-            (text_hash, start << 32 | end, before << 32 | len(words), number << 4 | flags)
+            (text_hash, start << 32 | end, before << 32 | len(words), number << 5 | flags)
             + unpack("<2q", digest)
         )
         seen.add(digest)
@@ -151,13 +151,30 @@ def _units_of(unit: str):
                 rows += found
                 at += [k] * len(found)
             columns = zip(*rows) if rows else [()] * len(types)
-            arrays = [pa.array(c, t) for c, t in zip(columns, types)]
+            arrays = dict(zip(names[1:], (pa.array(c, t) for c, t in zip(columns, types))))
+            _, inverse, n = np.unique(
+                arrays["hash"].to_numpy(), return_inverse=True, return_counts=True
+            )
+            often = np.where(n * HOT_SHARE > len(rows), 16, 0)[inverse]
+            arrays["unit_flags"] = pa.array(arrays["unit_flags"].to_numpy() | often)
             ids = part.column("id").combine_chunks().take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, *arrays], names)
+            yield pa.RecordBatch.from_arrays([ids, *arrays.values()], names)
 
     return batches
 
 
+def hot_hashes(units: DataFrame) -> DataFrame:
+    """`(hash)` of every digest that has more than two in HOT_SHARE of all rows, and of few
+    others; there are fewer than HOT_SHARE.
+
+    Only units marked as often in their batch are counted: what has two in HOT_SHARE of all
+    rows has at least one of them in batches where it is marked.
+    """
+    total = units.count()
+    marked = units.filter("unit_flags & 16 = 16").groupBy("hash").agg(F.count("*").alias("n"))
+    return marked.filter(F.col("n") * HOT_SHARE > total).select("hash")
+
+
 def repeated_units(
     docs: DataFrame,
     unit: str = "passage",
@@ -174,34 +191,37 @@ def repeated_units(
     text_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     units = scratch.write(rows.mapInArrow(_units_of(unit), SCHEMA), "units")
-    # Half a digest tells nearly all units apart that stand once; few are left for the rest.
-    often = units.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    often = scratch.write(often, "often")
-    met = lookup(units, often, "hash", "n").drop("n")
-    unpacked = [f"{how} as {name}" for name, how in UNPACKED.items()]
-    units = scratch.write(met, "met").selectExpr("id", "text_hash", *unpacked)
-    rank = F.struct(F.col("id").isNull().alias("no_id"), "id")
-    counts = (
-        units.groupBy("digest")
-        .agg(
-            F.min(rank).alias("keep"),
-            F.min(F.when(F.col("whole"), rank)).alias("keep_whole"),
-            F.count(F.lit(1)).alias("occurrences"),
-            F.count_if("whole").alias("wholes"),
-        )
-        .filter("occurrences > 1")
+    digest = Window.partitionBy("hash", "rest")
+    whole_id = F.when(F.expr(UNPACKED["whole"]), F.col("id"))
+    # The smallest id is that of the unit that stays; it is null only where all ids are.
+    facts = {
+        "keep": F.min("id"),
+        "keep_whole": F.min(whole_id),
+        "wholes": F.count_if(F.expr(UNPACKED["whole"])),
+    }
+    hot = scratch.write(hot_hashes(units), "hot")
+    is_hot = units.join(F.broadcast(hot), "hash", "left_semi")
+    counted = is_hot.groupBy("hash", "rest").agg(
+        F.count(F.lit(1)).alias("occurrences"), *[c.alias(n) for n, c in facts.items()]
     )
-    counts = scratch.write(counts, "counts")
-    is_whole = "whole and wholes > 1 and not (id <=> keep_whole.id and first_whole)"
-    is_part = "part and not (id <=> keep.id and first)" if unit == "passage" else "false"
-    found = lookup(units, counts, "digest", "occurrences").withColumns(
-        {"is_whole": F.expr(is_whole), "is_part": F.expr(is_part)}
+    of_hot = is_hot.join(F.broadcast(counted.filter("occurrences > 1")), ["hash", "rest"])
+    others = units.join(F.broadcast(hot), "hash", "left_anti")
+    others = others.withColumn("occurrences", F.count(F.lit(1)).over(digest))
+    others = others.filter("occurrences > 1").withColumns(
+        {name: column.over(digest) for name, column in facts.items()}
+    )
+    unpacked = [f"{how} as {name}" for name, how in UNPACKED.items()]
+    is_whole = "whole and wholes > 1 and not (id <=> keep_whole and first_whole)"
+    is_part = "part and not (id <=> keep and first)" if unit == "passage" else "false"
+    found = of_hot.unionByName(others).selectExpr(
+        "id", "text_hash", "occurrences", *facts, *unpacked
     )
-    found = found.filter("is_whole or is_part").drop("digest", "part", "whole")
+    found = found.withColumns({"is_whole": F.expr(is_whole), "is_part": F.expr(is_part)})
+    found = found.filter("is_whole or is_part").drop("part", "whole", "first", "first_whole")
     found = scratch.write(found, "repeated")
 
     def result(df: DataFrame, kind: str, keep: str, occurrences: str) -> DataFrame:
-        own = {"kind": F.lit(kind), "keep_id": F.col(f"{keep}.id"), "occurrences": F.col(occurrences)}
+        own = {"kind": F.lit(kind), "keep_id": F.col(keep), "occurrences": F.col(occurrences)}
         columns = [own.get(name, F.col(name)).alias(name) for name in RESULT]
         return df.select(F.col("id").alias(id_col), "text_hash", *columns)
 
