@@ -191,3 +191,21 @@ def test_awkward_documents(spark):
 def test_unknown_unit(spark):
     with pytest.raises(ValueError):
         units.repeated_units(awkward(spark), unit="chapter")
+
+
+def test_units_of_many_documents_are_found_by_their_share(spark, monkeypatch):
+    """Common units, which are not shuffled, and all others give the same rows."""
+    pick = random.Random(12)
+    footer, shared = "All rights reserved here.", passage(pick)
+    docs = documents(
+        spark, [(i, f"{passage(pick, 2)}\n{shared * (i % 5 == 0)}\n{footer}", "s") for i in range(40)]
+    )
+    found = []
+    for share in (1, 20, 1000):  # none, the footer, all that are marked in a batch
+        monkeypatch.setattr(units, "HOT_SHARE", share)
+        removed = units.repeated_units(docs)
+        found.append(rows_of(removed, *removed.columns))
+    assert found[0] == found[1] == found[2] and len(found[0]) > 39
+    rows = [(7, 16)] * 5 + [(8, 0)] * 5
+    marked = spark.createDataFrame(rows, "hash long, unit_flags long")
+    assert rows_of(units.hot_hashes(marked), "hash") == [(7,)]
