@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,23 @@ def text_batches(spark: SparkSession) -> None:
         spark.conf.set(key, TEXT_ROWS)
 
 
+NARROW_ROWS = 1 << 16
+"""Rows of a few numbers that go to a Python worker at once: about 1 MB."""
+
+
+@contextmanager
+def narrow_batches(spark: SparkSession) -> Iterator[None]:
+    """For jobs that run within and send workers nothing but numbers; the setting that
+    holds for texts is put back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, NARROW_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 BATCH_BYTES = 8 * 2**20
 """Bytes of text that one step of an operator holds decoded."""
 

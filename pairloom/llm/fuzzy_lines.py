@@ -24,18 +24,21 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain, combinations
+from itertools import chain, combinations, groupby
+from operator import itemgetter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import IDS_TO_BROADCAST, Scratch, lookup, text_batches
+from pairloom.llm.common import IDS_TO_BROADCAST, Scratch, lookup, narrow_batches, text_batches
 from pairloom.llm.components import connected_components
 from pairloom.llm.simhash_anchors import links_within_keys
 
 TILE = 256
 NO_ID = (1 << 63) - 1
-WORDS_KEPT = 200_000
+PARTS_AT_ONCE = 512  # of up to 255 words; their bits stay in the processor's cache
+LINKS_AT_ONCE = 10_000
+TILE_COLUMNS = ("component", "tile_row", "tile_column", "block", "digest", "print", "norm")
 SCHEMA = "id long, line int, start long, end long, digest binary, print long, norm binary"
 
 
@@ -49,54 +52,61 @@ def _normalising_table() -> bytes:
 def _lines_of():
     import numpy as np
     import pyarrow as pa
+    import pyarrow.compute as pc
     import xxhash
 
     table = _normalising_table()
     names = ["id", "line", "start", "end", "digest", "print", "norm"]
-    class Hashes(dict):
-        def __missing__(self, word: bytes) -> int:
-            if len(self) >= WORDS_KEPT:
-                self.clear()
-            found = self[word] = xxhash.xxh64_intdigest(word)
-            return found
 
-    hashes = Hashes()
+    def hashed(words: pa.Array):
+        """The hash of every word; a word that occurs again in the batch is hashed once."""
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, distinct), "<u8", len(distinct))
+        return hashes[coded.indices.to_numpy()]
 
-    def prints_of(lines: list[list[bytes]]):
+    def prints_of(lines: pa.Array):
         """SimHash of the pairs of neighbouring words of each line, and its last word."""
-        sizes = np.array([len(words) for words in lines])
+        sizes = pc.list_value_length(lines).to_numpy().astype(np.int64)
         first = np.cumsum(sizes) - sizes
-        words = map(hashes.__getitem__, chain.from_iterable(lines))
-        words = np.fromiter(words, "<u8", sizes.sum())
+        words = hashed(lines.flatten())
         pairs = words.copy()
         pairs[:-1] = words[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ words[1:]
         pairs[first + sizes - 1] = words[first + sizes - 1]
-        bits = np.unpackbits(pairs.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         # Eight counts are added as one number; 255 bits leave no carry between them.
         parts = -(-sizes // 255)
         begins = np.cumsum(parts) - parts
         within = np.arange(parts.sum()) - np.repeat(begins, parts)
         starts = np.repeat(first, parts) + 255 * within
-        counts = np.add.reduceat(bits.view(np.uint64), starts, axis=0).view(np.uint8)
+        counts = []
+        for k in range(0, len(starts), PARTS_AT_ONCE):
+            here = starts[k : k + PARTS_AT_ONCE + 1]
+            stop = here[-1] if len(here) > PARTS_AT_ONCE else len(pairs)
+            bits = np.unpackbits(pairs[here[0] : stop].view(np.uint8), bitorder="little")
+            bits, here = bits.view(np.uint64).reshape(-1, 8), here[:PARTS_AT_ONCE] - here[0]
+            counts.append(np.add.reduceat(bits, here, axis=0))
+        counts = np.concatenate(counts).view(np.uint8)
         counts = np.add.reduceat(counts, begins, axis=0, dtype=np.int32)
         return np.packbits(2 * counts > sizes[:, None], axis=1, bitorder="little").view("<i8")[:, 0]
 
     def batches(parts: Iterator) -> Iterator:
         for part in parts:
             at, rows, lines = [], [], []
-            for k, text in enumerate(part.column("text")):
+            for k, text in enumerate(part.column("text").to_pylist()):
                 start = 0
-                for number, line in enumerate((text.as_py() or "").split("\n")):
+                for number, line in enumerate((text or "").split("\n")):
                     end = start + len(line)
-                    if words := line.encode().translate(table).split():
-                        norm = b" ".join(words)
+                    if norm := line.encode().translate(table).strip():
                         at.append(k)
-                        rows.append((number, start, end, xxhash.xxh3_128_digest(norm), norm))
-                        lines.append(words)
+                        rows.append((number, start, end))
+                        lines.append(norm)
                     start = end + 1
             if not rows:
                 continue
-            number, start, end, digest, norm = zip(*rows)
+            number, start, end = zip(*rows)
+            words = pc.ascii_split_whitespace(pa.array(lines, pa.binary()).cast(pa.string()))
+            norm = pc.binary_join(words, " ").cast(pa.binary())
+            digest = map(xxhash.xxh3_128_digest, norm.to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("id").take(pa.array(at, pa.int64())),
@@ -104,8 +114,8 @@ def _lines_of():
                     pa.array(start, pa.int64()),
                     pa.array(end, pa.int64()),
                     pa.array(digest, pa.binary()),
-                    pa.array(prints_of(lines)),
-                    pa.array(norm, pa.binary()),
+                    pa.array(prints_of(words)),
+                    norm,
                 ],
                 names,
             )
@@ -175,13 +185,14 @@ def _within(a: bytes, b: bytes, most: int) -> bool:
 
 
 def _verify(most_different: int, similarity: float):
+    """Links of tiles whose rows `TILE_COLUMNS` follow one another, each in order of digests."""
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
 
-    def tile(lines: pd.DataFrame) -> pd.DataFrame:
+    def tile(row: int, column: int, lines: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
         """Links of one tile: lines of the row block with those of the column block."""
-        rows = lines[lines["block"] == lines["tile_row"]].sort_values("digest")
-        columns = lines[lines["block"] == lines["tile_column"]].sort_values("digest")
+        rows = [line for line in lines if line[3] == row]
+        columns = [line for line in lines if line[3] == column]
         parent: dict[bytes, bytes] = {}
 
         def root(d: bytes) -> bytes:
@@ -190,51 +201,80 @@ def _verify(most_different: int, similarity: float):
                 d = parent[d]
             return d
 
-        found = []
-        left, right = rows["print"].to_numpy("uint64"), columns["print"].to_numpy("uint64")
+        left, right = (np.array([x[5] for x in part]).view(np.uint64) for part in (rows, columns))
         near = np.bitwise_count(left[:, None] ^ right) <= most_different
-        texts = rows["norm"].tolist(), columns["norm"].tolist()
-        names = rows["digest"].tolist(), columns["digest"].tolist()
+        if row == column:  # both blocks are one: each pair once
+            near = np.triu(near, 1)
         for i, j in zip(*(at.tolist() for at in np.nonzero(near))):
-            digest, other, norm, other_norm = names[0][i], names[1][j], texts[0][i], texts[1][j]
-            if digest == other:
-                continue
+            (digest, _, norm), (other, _, other_norm) = rows[i][4:], columns[j][4:]
             a, b = root(digest), root(other)
             if a == b:
                 continue
             longer = max(len(norm.decode()), len(other_norm.decode()))
             if _within(norm, other_norm, int((1 - similarity) * longer + 1e-9)):
                 parent[max(a, b)] = min(a, b)
-                found.append((digest, other))
-        return pd.DataFrame(found, columns=["u", "v"])
+                yield digest, other
+
+    def batch(found: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(column, pa.binary()) for column in zip(*found)]
+        return pa.RecordBatch.from_arrays(columns, ["u", "v"])
+
+    def batches(parts: Iterator) -> Iterator:
+        found = []
+        columns = ([part.column(name).to_pylist() for name in TILE_COLUMNS] for part in parts)
+        rows = chain.from_iterable(zip(*part) for part in columns)
+        for (_, row, column), lines in groupby(rows, itemgetter(0, 1, 2)):
+            found += tile(row, column, list(lines))
+            if len(found) >= LINKS_AT_ONCE:
+                yield batch(found)
+                found = []
+        if found:
+            yield batch(found)
 
-    return tile
+    return batches
 
 
 def line_groups(
     lines: DataFrame, scratch: Scratch, blocks: int, most_different: int, similarity: float
 ) -> DataFrame:
-    """`(digest, group, id, n)` of every distinct line; `group` is the smallest digest."""
+    """`(digest, group, id, n)` of every distinct line that is linked or occurs again, which
+    are those that can go or stay for others; `group` is the smallest digest."""
     distinct = scratch.write(
         lines.groupBy("digest").agg(
             F.max("print").alias("print"), F.min("id").alias("id"), F.count(F.lit(1)).alias("n")
         ),
         "distinct",
     )
-    prints = distinct.select("print").distinct()
+    prints = scratch.write(
+        distinct.groupBy("print").agg(F.count(F.lit(1)).alias("digests")), "prints"
+    )
     keyed = prints.select(
         F.explode(block_keys(F.col("print"), blocks, most_different)).alias("key"), "print"
     )
-    near = connected_components(links_within_keys(keyed, most_different), scratch)
-    placed = distinct.join(near.withColumnRenamed("node", "print"), "print", "left").select(
-        "digest", "print", F.coalesce("component", "print").alias("component")
+    with narrow_batches(scratch.spark):
+        near = connected_components(links_within_keys(keyed, most_different), scratch)
+    # Only prints with a neighbour or with more than one line make candidates; all other lines
+    # are read once and not shuffled while these prints can be broadcast.
+    near = near.withColumnRenamed("node", "print")
+    near = near.join(prints.filter("digests > 1"), "print", "full").select(
+        "print",
+        F.coalesce("component", "print").alias("component"),
+        F.coalesce("digests", F.lit(1)).alias("digests"),
+    )
+    near = scratch.write(near, "near")
+    sizes = near.groupBy("component").agg(
+        F.sum("digests").alias("m"), F.count(F.lit(1)).alias("prints")
     )
+    sizes = lookup(near, scratch.write(sizes, "sizes"), "component", "prints")
+    placed = scratch.write(sizes.select("print", "component", "m"), "placed")
+    if placed.count() <= IDS_TO_BROADCAST // 4:  # of three numbers
+        placed = F.broadcast(placed)
+    candidates = distinct.join(placed, "print", "left").filter("component is not null or n > 1")
+    candidates = scratch.write(candidates, "candidates")
     # Digests are spread evenly, so a slice of them cuts a component into even blocks.
-    sizes = placed.groupBy("component").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    sizes = scratch.write(sizes, "sizes")
     block = F.pmod(F.xxhash64("digest"), F.ceil(F.col("m") / TILE)).cast("int")
-    members = lookup(placed, sizes, "component", "m").withColumn("block", block)
-    members = scratch.write(members, "candidates")
+    members = candidates.filter("component is not null").withColumn("block", block)
+    members = members.drop("id", "n")
     wanted = members.select("digest")
     if wanted.count() <= IDS_TO_BROADCAST // 4:  # digests are longer than numbers
         wanted = F.broadcast(wanted)
@@ -249,11 +289,14 @@ def line_groups(
         members.withColumn("other", other)
         .withColumn("tile_row", F.least("block", "other"))
         .withColumn("tile_column", F.greatest("block", "other"))
-        .groupBy("component", "tile_row", "tile_column")
-        .applyInPandas(_verify(most_different, similarity), "u binary, v binary")
+        .select(*TILE_COLUMNS)
+        .repartition("component", "tile_row", "tile_column")
+        .sortWithinPartitions("component", "tile_row", "tile_column", "digest")
+        .mapInArrow(_verify(most_different, similarity), "u binary, v binary")
     )
     joined = connected_components(tiles, scratch).withColumnRenamed("node", "digest")
-    return distinct.join(joined, "digest", "left").select(
+    linked = candidates.drop("component").join(joined, "digest", "left")
+    return linked.filter("component is not null or n > 1").select(
         "digest", F.coalesce("component", "digest").alias("group"), "id", "n"
     )
 

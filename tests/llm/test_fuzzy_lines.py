@@ -4,6 +4,7 @@ import re
 import pytest
 
 from pairloom.llm import fuzzy_lines as fuzzy
+from pairloom.llm.common import TEXT_ROWS, Scratch, narrow_batches, text_batches
 from tests.llm.helpers import awkward, components, documents, rows_of
 
 
@@ -116,3 +117,62 @@ def test_prints_of_lines_of_any_length():
             1 << b for b in range(64) if 2 * sum(f >> b & 1 for f in features) > len(features)
         )
         assert print_ % (1 << 64) == wanted
+
+
+def test_tiles_are_told_apart_in_one_stream():
+    """Small tiles follow one another in the same batches, and may be cut by their ends."""
+    import pyarrow as pa
+
+    text = "some words that are long enough to be edited a little"
+    rows = []
+    for k in range(50):  # component k: two alike, one other, all of one print
+        lines = [text + chr(97 + k % 26), text + "!", "other"]
+        rows += [(k, 0, 0, 0, b"%03d%d" % (k, n), k, line.encode()) for n, line in enumerate(lines)]
+    rows += [(99, 0, 1, n % 2, b"999%d" % n, 7, text.encode()) for n in range(4)]  # two blocks
+    names = fuzzy.TILE_COLUMNS
+    batches = [
+        pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*rows[at : at + 7])))))
+        for at in range(0, len(rows), 7)
+    ]
+    (out,) = fuzzy._verify(3, 0.8)(iter(batches))
+    found = [(r["u"], r["v"]) for r in out.to_pylist()]
+    assert found[:50] == [(b"%03d0" % k, b"%03d1" % k) for k in range(50)]
+    assert found[50:] == [(b"9990", b"9991"), (b"9990", b"9993"), (b"9992", b"9991")]
+    assert list(fuzzy._verify(3, 0.8)(iter([]))) == []
+
+
+def test_lines_that_stand_alone_are_left_out_of_groups(spark):
+    rows = [(1, "one line here\nanother thing entirely\nthe footer", "s"), (2, "the footer", "s")]
+    docs = documents(spark, rows).selectExpr("doc_id as id", "text")
+    scratch = Scratch(spark, "test")
+    lines = scratch.write(docs.mapInArrow(fuzzy._lines_of(), fuzzy.SCHEMA), "lines")
+    assert rows_of(fuzzy.line_groups(lines, scratch, 5, 3, 0.8), "id", "n") == [(1, 2)]
+
+
+def test_numbers_go_to_workers_in_larger_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    text_batches(spark)
+    before = spark.conf.get(key)
+    with pytest.raises(ZeroDivisionError), narrow_batches(spark):
+        assert int(spark.conf.get(key)) > TEXT_ROWS
+        1 / 0
+    assert spark.conf.get(key) == before
+
+
+def test_texts_with_all_kinds_of_space(spark):
+    import pyarrow as pa
+
+    pick = random.Random(9)
+    signs = [" ", "  ", "\n", "\t", "a", "B", "é", "\x00", "\x85", "\xa0", "9", ".", "漢", "\r", "\x1c"]
+    texts = ["".join(pick.choice(signs) for _ in range(pick.randrange(80))) for _ in range(200)]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(202)), "text": [*texts, None, "ab " * 600]})
+    (out,) = fuzzy._lines_of()(iter([batch]))
+    found = [(r["id"], r["line"], r["norm"].decode()) for r in out.to_pylist()]
+    plain = lambda line: re.sub("[^a-z0\x80-\U0010ffff]+", " ", line.lower().replace("9", "0"))
+    assert found[:-1] == [
+        (i, n, plain(line).strip(" "))
+        for i, text in enumerate(texts)
+        for n, line in enumerate(text.split("\n"))
+        if plain(line).strip(" ")
+    ]
+    assert found[-1] == (201, 0, " ".join(["ab"] * 600))
