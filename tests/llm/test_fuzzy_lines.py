@@ -176,3 +176,18 @@ def test_texts_with_all_kinds_of_space(spark):
         if plain(line).strip(" ")
     ]
     assert found[-1] == (201, 0, " ".join(["ab"] * 600))
+
+
+def test_more_candidates_than_can_be_broadcast(spark, monkeypatch):
+    pick = random.Random(10)
+    base = [" ".join(f"w{chr(97 + pick.randrange(26))}{chr(97 + k)}" for _ in range(80)) for k in range(6)]
+    rows = [
+        (i, "\n".join(f"{pick.choice(base)} {pick.choice(['', 'end', 'last', 'q' * i])}" for _ in range(3)), "s")
+        for i in range(40)
+    ]
+    found = []
+    for most in (fuzzy.IDS_TO_BROADCAST, 0):
+        monkeypatch.setattr(fuzzy, "IDS_TO_BROADCAST", most)
+        removed = fuzzy.fuzzy_line_dedup(documents(spark, rows))
+        found.append(rows_of(removed, *removed.columns))
+    assert found[0] == found[1] and len(found[0]) > 40
