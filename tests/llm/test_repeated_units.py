@@ -209,3 +209,62 @@ def test_units_of_many_documents_are_found_by_their_share(spark, monkeypatch):
     rows = [(7, 16)] * 5 + [(8, 0)] * 5
     marked = spark.createDataFrame(rows, "hash long, unit_flags long")
     assert rows_of(units.hot_hashes(marked), "hash") == [(7,)]
+
+
+def test_units_that_stay_are_not_written(spark, monkeypatch):
+    pick = random.Random(13)
+    shared = passage(pick)
+    rows = [(i, f"{passage(pick)}\n{shared * (i < 2)}", "s") for i in range(30)]
+    counts, write = {}, units.Scratch.write
+
+    def counted(self, df, name):
+        table = write(self, df, name)
+        counts[name] = table.count()
+        return table
+
+    monkeypatch.setattr(units.Scratch, "write", counted)
+    assert {r.doc_id for r in units.repeated_units(documents(spark, rows)).collect()} == {1}
+    found = sum(len(units.document_units(text, "passage")) for _, text, _ in rows)
+    assert 0 < sum(counts.values()) < found / 4
+
+
+def test_units_spread_in_some_batches_only(spark, monkeypatch):
+    """Common where a batch has them twice, once in others; whole lines and parts; no ids."""
+    pick = random.Random(14)
+    footer, line = "All rights reserved here.", words(pick, 40)
+    said = [footer, f"{line}\n{footer}\n{line}", words(pick, 20), f"{words(pick, 9)}\n{footer}", line]
+    rows = [(i if i % 4 else None, f"{said[i % 5]}\n{words(pick, 9)}", "s") for i in range(24)]
+    docs = documents(spark, rows).repartitionByRange(5, "text")
+    wanted = sorted(brute_force(rows, 1), key=repr)
+    for share in (1, 20, 1000):
+        monkeypatch.setattr(units, "HOT_SHARE", share)
+        found = rows_of(
+            units.repeated_units(docs, min_run_words=1),
+            "doc_id", "kind", "start", "end", "keep_id", "occurrences",
+        )
+        assert sorted(found, key=repr) == wanted
+
+
+def test_counts_of_marked_units():
+    import pyarrow as pa
+
+    names = [part.split()[0] for part in units.SCHEMA.split(", ")]
+    rows = [(5, 1, 0, 0, 16 | 7, 8, 9), (None, 2, 0, 0, 64 | 16 | 3, 8, 9), (3, 2, 0, 0, 16 | 1, 8, 9)]
+    marked = pa.table([pa.array(c, pa.int64()) for c in zip(*rows)], names)
+    (found,) = units._counts_of(marked)
+    assert sorted(map(tuple, (r.values() for r in found.to_pylist()))) == [
+        (3, None, 1, None, 48, 8, 9),
+        (5, None, 2, None, 50, 8, 9),
+    ]
+
+
+def test_hot_and_other_counts_reach_every_marked_unit(spark):
+    """Digest 1 is hot and 2 is not; 3 has all its facts."""
+    schema = f"{units.SCHEMA}, occurrences long"
+    rows = [(i, 0, 0, 0, 16, 1, 1, 0) for i in range(3000)]
+    rows += [(i, 0, 0, 0, 16, 2, 2, 0) for i in range(3)] + [(7, 0, 0, 0, 0, 1, 1, 9)]
+    rows += [(7, 0, 0, 0, 0, 3, 3, 2)]
+    counted = spark.createDataFrame([(1, 1, 3001), (2, 2, 5)], "hash long, rest long, occurrences long")
+    found = units.with_counts(spark.createDataFrame(rows, schema), counted, ["occurrences"])
+    counts = found.groupBy("hash", "occurrences").count()
+    assert rows_of(counts, *counts.columns) == [(1, 9, 1), (1, 3001, 3000), (2, 5, 3), (3, 2, 1)]
